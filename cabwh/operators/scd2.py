@@ -69,8 +69,14 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], track
 
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")
-    seq = opened.withColumn("_src", F.lit(0)).unionByName(delta.withColumn("_src", F.lit(1)))
-    w = Window.partitionBy(*keys).orderBy(F.col(start), F.col("_src"))
+    # a NULL key identifies nothing: such rows are never chained, only kept / appended
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    passthrough = opened.filter(null_key).unionByName(delta.filter(null_key).withColumn(end, open_end()))
+    seq = (opened.filter(~null_key).withColumn("_src", F.lit(0))
+           .unionByName(delta.filter(~null_key).withColumn("_src", F.lit(1))))
+    w = Window.partitionBy(*keys).orderBy(F.col(start), F.col("_src"), *[F.col(t) for t in tracked])
     same_as_prev = F.lit(True)
     for t in tracked:
         same_as_prev = same_as_prev & F.col(t).eqNullSafe(F.lag(t).over(w))
@@ -81,7 +87,7 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], track
         .withColumn(end, F.coalesce(add_seconds(F.lead(start).over(w), -1), open_end()))
         .select(*cols)
     )
-    return closed.unionByName(kept)
+    return closed.unionByName(passthrough).unionByName(kept)
 
 
 def versions_from_history(history: DataFrame, key: str, attr: str, ts: str, watermark: Column | None = None,
