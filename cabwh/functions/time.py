@@ -29,7 +29,7 @@ def ts_lit(value) -> Column:
 def add_seconds(ts, seconds) -> Column:
     """ts + seconds (a column or an int); stays NTZ."""
     secs = seconds if isinstance(seconds, Column) else F.lit(seconds)
-    return _c(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+    return _c(ts) + secs.cast("bigint") * F.expr("INTERVAL '1' SECOND")
 
 
 def seconds_between(start, end) -> Column:

@@ -12,14 +12,15 @@ supplier count ``n`` (a scalar that fixes the car of each ride).
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+import os
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwh.constants import EVENT_BEGIN, EVENT_CANCEL, EVENT_END, EVENT_READY, STATUS_FAILURE, STATUS_SUCCESS
 from cabwh.functions.time import add_seconds, int_div, ts_lit
-from cabwh.sources.tables import read_table
+from cabwh.sources.tables import _stamp, read_table
 
 # --- fixed values: fixture calendar (FIXTURES.md) ------------------------------
 T0 = "2024-01-01 00:00:00"
@@ -43,24 +44,15 @@ def day_offset(days) -> Column:
     return ts_lit(T0) + F.make_dt_interval(d.cast("int"))
 
 
-@dataclass
-class Sources:
-    """The fleet sources for one scale factor."""
-
-    rides: DataFrame
-    movement: DataFrame
-    drivers: DataFrame
-    drivers_delta: DataFrame
-    car_pool: DataFrame
-    car_pool_delta: DataFrame
-    waybills: DataFrame
-    payments: DataFrame
-    ledger: DataFrame
-    n_cars: int
+_COUNTS: dict[tuple, int] = {}
 
 
 def supplier_count(spark: SparkSession, sf_dir: str) -> int:
-    return read_table(spark, sf_dir, "supplier", ["s_suppkey"]).count()
+    """Number of suppliers (= cars): a scalar, counted once per session and file version."""
+    key = _stamp(spark, os.path.join(sf_dir, "supplier.parquet"))
+    if key not in _COUNTS:
+        _COUNTS[key] = read_table(spark, sf_dir, "supplier", ["s_suppkey"], spread_small=False).count()
+    return _COUNTS[key]
 
 
 def _ride_columns(orders: DataFrame, n: int) -> DataFrame:
@@ -106,11 +98,11 @@ def movement(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
                      F.lit("  "))
     events = F.array(ev(0, EVENT_READY, ready), ev(1, EVENT_BEGIN, begin, ~cancelled),
                      ev(2, EVENT_END, end, ~no_end), ev(3, EVENT_CANCEL, begin, cancelled))
+    # explode the four candidates and drop the absent ones (no lambda: stays in codegen)
     return (
-        r.select(k.alias("ride"), plate.alias("car_plate_num"),
-                 F.filter(events, lambda e: e.isNotNull()).alias("_ev"))
-        .select("ride", "car_plate_num", F.inline("_ev"))
-        .select("movement_id", "car_plate_num", "ride", "event", "dt")
+        r.select(k.alias("ride"), plate.alias("car_plate_num"), F.explode(events).alias("_ev"))
+        .filter(F.col("_ev").isNotNull())
+        .select("_ev.movement_id", "car_plate_num", "ride", "_ev.event", "_ev.dt")
     )
 
 
@@ -241,17 +233,56 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class Sources:
+    """The fleet sources of one scale factor, each built on first use (a plan that needs two
+    tables does not pay for building nine)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def n_cars(self) -> int:
+        return supplier_count(self.spark, self.sf_dir)
+
+    def _make(self, fn):
+        return fn(self.spark, self.sf_dir, self.n_cars)
+
+    @cached_property
+    def rides(self) -> DataFrame:
+        return self._make(rides)
+
+    @cached_property
+    def movement(self) -> DataFrame:
+        return self._make(movement)
+
+    @cached_property
+    def drivers(self) -> DataFrame:
+        return self._make(drivers)
+
+    @cached_property
+    def drivers_delta(self) -> DataFrame:
+        return self._make(drivers_delta)
+
+    @cached_property
+    def car_pool(self) -> DataFrame:
+        return self._make(car_pool)
+
+    @cached_property
+    def car_pool_delta(self) -> DataFrame:
+        return self._make(car_pool_delta)
+
+    @cached_property
+    def waybills(self) -> DataFrame:
+        return self._make(waybills)
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._make(payments)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return ledger(self.spark, self.sf_dir)
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    n = supplier_count(spark, sf_dir)
-    return Sources(
-        rides=rides(spark, sf_dir, n),
-        movement=movement(spark, sf_dir, n),
-        drivers=drivers(spark, sf_dir, n),
-        drivers_delta=drivers_delta(spark, sf_dir, n),
-        car_pool=car_pool(spark, sf_dir, n),
-        car_pool_delta=car_pool_delta(spark, sf_dir, n),
-        waybills=waybills(spark, sf_dir, n),
-        payments=payments(spark, sf_dir, n),
-        ledger=ledger(spark, sf_dir),
-        n_cars=n,
-    )
+    return Sources(spark, sf_dir)

@@ -6,7 +6,53 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+# (application id, path, mtime) -> number of scan partitions; planning a scan is cheap but
+# not free, and the same files are read by many plans of one session
+_SCAN_PARTS: dict[tuple, int] = {}
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+
+def _stamp(spark: SparkSession, path: str) -> tuple:
+    try:
+        mtime = os.path.getmtime(path)
+    except OSError:  # not a local path: key on the path alone
+        mtime = None
+    return (spark.sparkContext.applicationId, path, mtime)
+
+
+def scan_partitions(df: DataFrame, key: tuple | None = None) -> int:
+    if key is not None and key in _SCAN_PARTS:
+        return _SCAN_PARTS[key]
+    n = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    if key is not None:
+        _SCAN_PARTS[key] = n
+    return n
+
+
+def spread(df: DataFrame, key: tuple | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A small file with a single row group is read by one task, and every per-row step
+    before the first shuffle would run in that task. Large inputs split into many scan
+    partitions by themselves and are returned untouched (no extra shuffle at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if scan_partitions(df, key) < cores:
+        return df.repartition(cores)
+    return df
+
+
+_READS: dict[tuple, DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread_small: bool = True) -> DataFrame:
+    """A pruned scan of one given table. DataFrames are immutable plans, so one per
+    (session, file version, columns) is reused instead of re-listing the files."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (*_stamp(spark, path), tuple(columns or ()), spread_small)
+    if key not in _READS:
+        df = spark.read.parquet(path)
+        if columns:
+            df = df.select(*columns)
+        _READS[key] = spread(df, _stamp(spark, path)) if spread_small else df
+    return _READS[key]
