@@ -37,7 +37,8 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], track
 
     ``mode="strict"``: a delta row is appended only if a tracked column differs null-safely
     from the version before it; versions of a key are chained so that each ends one second
-    before the next starts. Re-applying the same delta changes nothing.
+    before the next starts. Delta rows not newer than the open version are ignored, so
+    re-applying the same delta changes nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
     tracked = [tracked] if isinstance(tracked, str) else list(tracked)
@@ -77,6 +78,12 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], track
     seq = (opened.filter(~null_key).withColumn("_src", F.lit(0))
            .unionByName(delta.filter(~null_key).withColumn("_src", F.lit(1))))
     w = Window.partitionBy(*keys).orderBy(F.col(start), F.col("_src"), *[F.col(t) for t in tracked])
+    # delta rows not newer than the open version are already part of the history (a
+    # re-run) or would rewrite closed versions: they are not applied
+    open_start = F.max(F.when(F.col("_src") == 0, F.col(start))).over(Window.partitionBy(*keys))
+    seq = (seq.withColumn("_open_start", open_start)
+           .filter((F.col("_src") == 0) | F.col("_open_start").isNull() | (F.col(start) > F.col("_open_start")))
+           .drop("_open_start"))
     same_as_prev = F.lit(True)
     for t in tracked:
         same_as_prev = same_as_prev & F.col(t).eqNullSafe(F.lag(t).over(w))

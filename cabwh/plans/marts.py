@@ -93,9 +93,11 @@ def prior_violations(prior: DataFrame, report_dt) -> DataFrame:
             .groupBy("personnel_num").agg((F.max("violations_cnt") + 1).cast("bigint").alias("prior_cnt")))
 
 
-def drivers_violations(fact_rides: DataFrame, prior: DataFrame, report_dt) -> DataFrame:
+def drivers_violations(fact_rides: DataFrame, prior: DataFrame | None, report_dt) -> DataFrame:
     """rep_drivers_violations for one day: day count carried over from the prior report rows."""
     day = day_violation_counts(fact_rides, report_dt)
+    if prior is None:  # the first report ever
+        return day.select("personnel_num", "ride", "speed", "violations_cnt", "report_dt")
     q2 = prior_violations(prior, report_dt)
     return day.join(q2, "personnel_num", "left").select(
         "personnel_num", "ride", "speed",

@@ -1,8 +1,41 @@
-"""Writing the warehouse: mart partitions (C22). The daily run is added below."""
+"""The daily job (C24): load facts and dimensions past the ledger watermark, then the marts.
+
+Storage layout under one warehouse folder (on a cluster: a shared path):
+
+* ``fact_*``              append-only Parquet; a batch appends only unseen keys (insert-ignore)
+* ``dim_*/snapshot=N``    one complete dimension per batch; readers take the newest finished one
+* ``rep_*``               marts partitioned by ``report_dt`` (dynamic partition overwrite)
+* ``rep_clients_hist/snapshot=N``  the historical mart, upserted into a new snapshot
+* ``work_batchdate``      the batch ledger
+* ``quarantine_rides``    rides without a matching waybill, retried by the next batch
+
+Nothing is ever overwritten while it is being read: dimensions and the client history are
+written to a new snapshot folder and only then become the newest one. Each write is one
+Spark job; a lost executor only re-runs its tasks from the deterministic inputs, and the
+deltas reused by several writes are checkpointed to the shared checkpoint folder.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+import os
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cabwh.constants import (
+    LOOKBACK_RIDES_H,
+    LOOKBACK_WAYBILLS_H,
+    STATUS_FAILURE,
+    STATUS_SUCCESS,
+)
+from cabwh.functions import ts_lit
+from cabwh.operators.writes import insert_ignore, upsert
+from cabwh.plans import dims, facts, marts
+from cabwh.session import ensure_checkpoint_dir
+from cabwh.sources import extract
 
 
 def append_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> None:
@@ -10,3 +43,161 @@ def append_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> N
     that day's partition instead of duplicating it; other days are untouched."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+# --- storage helpers ------------------------------------------------------------------------
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _list_dirs(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def latest_snapshot(spark: SparkSession, table: str) -> str | None:
+    """Newest ``snapshot=N`` folder that a finished job left (it holds ``_SUCCESS``)."""
+    snaps = []
+    for name in _list_dirs(spark, table):
+        m = re.fullmatch(r"snapshot=(\d+)", name)
+        if m and _exists(spark, f"{table}/{name}/_SUCCESS"):
+            snaps.append(int(m.group(1)))
+    return f"{table}/snapshot={max(snaps)}" if snaps else None
+
+
+def write_snapshot(df: DataFrame, table: str, batch: int) -> str:
+    path = f"{table}/snapshot={batch}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
+    if path is None or not _exists(spark, path):
+        return None
+    return spark.read.parquet(path)
+
+
+@dataclass
+class Inputs:
+    """What a batch reads from the sources (tables or file drops)."""
+
+    rides: DataFrame
+    movement: DataFrame
+    drivers: DataFrame          # all drivers (the key lookup needs every licence)
+    car_pool: DataFrame
+    waybills: DataFrame         # flat waybills (already read from XML)
+    payments: DataFrame         # raw payment rows (already read from TSV)
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        ensure_checkpoint_dir(spark)
+
+    def t(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    # -- ledger (C1, C23) ------------------------------------------------------------------
+    def ledger(self) -> DataFrame | None:
+        return read_or_none(self.spark, self.t("work_batchdate"))
+
+    def watermark(self) -> _dt.datetime:
+        led = self.ledger()
+        if led is None:
+            return _dt.datetime(1900, 1, 1)
+        return extract.last_success(led)
+
+    def record(self, started_at: _dt.datetime, status: str) -> None:
+        extract.record_batch(self.spark, None, started_at, status).write.mode("append").parquet(self.t("work_batchdate"))
+
+    # -- facts --------------------------------------------------------------------------------
+    def _append_new(self, delta: DataFrame, table: str, keys: list[str]) -> None:
+        path = self.t(table)
+        target = read_or_none(self.spark, path)
+        new = delta if target is None else insert_ignore(target, delta, keys)
+        new.write.mode("append").parquet(path)
+
+    def load_facts(self, inp: Inputs, wm: _dt.datetime) -> None:
+        since = extract.extract_since
+        wb = since(inp.waybills, "issuedt", wm, LOOKBACK_WAYBILLS_H)
+        fw_delta = facts.build_fact_waybills(wb, inp.drivers).checkpoint()
+        self._append_new(fw_delta, "fact_waybills", ["waybill_num"])
+
+        # rides: the look-back window plus the rides quarantined by earlier batches
+        q = read_or_none(self.spark, latest_snapshot(self.spark, self.t("quarantine_rides")))
+        rd = since(inp.rides, "dt", wm, LOOKBACK_RIDES_H)
+        mv = since(inp.movement, "dt", wm, LOOKBACK_RIDES_H)
+        if q is not None:
+            ids = q.select(F.col("ride_id").alias("_qid"))
+            rd = rd.unionByName(inp.rides.join(ids, inp.rides.ride_id == ids._qid, "left_semi")).dropDuplicates(["ride_id"])
+            mv = mv.unionByName(inp.movement.join(ids, inp.movement.ride == ids._qid, "left_semi")) \
+                .dropDuplicates(["movement_id"])
+        all_waybills = self.spark.read.parquet(self.t("fact_waybills"))
+        fr = facts.build_fact_rides(mv, rd, all_waybills)
+        matched = fr.rides.checkpoint()
+        self._append_new(matched, "fact_rides", ["ride_id"])
+        done = self.spark.read.parquet(self.t("fact_rides")).select("ride_id")
+        still = fr.quarantine.join(done, "ride_id", "left_anti")
+        write_snapshot(still, self.t("quarantine_rides"), self.batch)
+
+        # payments come from files already selected by modification time (modifiedAfter)
+        self._append_new(facts.build_fact_payments(inp.payments), "fact_payments", ["transaction_id"])
+
+    # -- dimensions (C12-C15) -----------------------------------------------------------------
+    def _dim(self, table: str, delta: DataFrame, apply) -> None:
+        cur = read_or_none(self.spark, latest_snapshot(self.spark, self.t(table)))
+        write_snapshot(apply(cur, delta), self.t(table), self.batch)
+
+    def load_dims(self, inp: Inputs, wm: _dt.datetime) -> None:
+        w = ts_lit(wm)
+        self._dim("dim_cars", dims.cars_delta(inp.car_pool, w), lambda cur, d: dims.apply_cars(cur, d))
+        self._dim("dim_drivers", dims.drivers_delta(inp.drivers, w), lambda cur, d: dims.apply_drivers(cur, d))
+        self._dim("dim_clients", dims.clients_delta(inp.rides, w), lambda cur, d: dims.apply_clients(cur, d))
+
+    # -- the two jobs --------------------------------------------------------------------------
+    def run_etl(self, inp: Inputs, started_at: _dt.datetime) -> None:
+        """Facts -> dimensions -> ledger. A failure records ``Failure`` and re-raises."""
+        self.batch = int(started_at.strftime("%Y%m%d%H%M%S"))
+        try:
+            wm = self.watermark()
+            self.load_facts(inp, wm)
+            self.load_dims(inp, wm)
+        except Exception:
+            self.record(started_at, STATUS_FAILURE)
+            raise
+        self.record(started_at, STATUS_SUCCESS)
+
+    def table(self, name: str) -> DataFrame:
+        snap = latest_snapshot(self.spark, self.t(name))
+        return self.spark.read.parquet(snap or self.t(name))
+
+    def run_marts(self, report_dt: _dt.date, started_at: _dt.datetime) -> None:
+        """The four reports for ``report_dt``; re-running a day replaces that day."""
+        batch = int(started_at.strftime("%Y%m%d%H%M%S"))
+        fr, fw, fp = self.table("fact_rides"), self.table("fact_waybills"), self.table("fact_payments")
+        dd, dc = self.table("dim_drivers"), self.table("dim_clients")
+        append_mart(marts.drivers_payments(fr, dd, report_dt), self.t("rep_drivers_payments"))
+        prior_path = self.t("rep_drivers_violations")
+        # only earlier days are read (prior_violations filters report_dt < day): the
+        # partition being written is never an input of its own job
+        prior = read_or_none(self.spark, prior_path)
+        append_mart(marts.drivers_violations(fr, prior, report_dt), prior_path)
+        append_mart(marts.drivers_overtime(fw, report_dt), self.t("rep_drivers_overtime"))
+        append_mart(marts.drivers_overtime_clipped(fw, report_dt), self.t("rep_drivers_overtime_clipped"))
+        hist = marts.clients_hist(dc, fp, fr)
+        old = read_or_none(self.spark, latest_snapshot(self.spark, self.t("rep_clients_hist")))
+        new = hist if old is None else upsert(old, hist, ["client_id"],
+                                              ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt",
+                                               "deleted_flag"])
+        write_snapshot(new, self.t("rep_clients_hist"), batch)
+
+
+def default_root(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "warehouse")

@@ -54,10 +54,9 @@ def read_waybills_raw(spark: SparkSession, path: str, since=None) -> DataFrame:
 
 def flatten_waybills(raw: DataFrame) -> DataFrame:
     """The nine scalars of a waybill (attributes, driver/*, period/*), times parsed."""
-    iso = F.col  # ISO text as written by the issuer
     return raw.select(
         F.col("_number").alias("number"),
-        parse_dayfirst(iso("_issuedt")).alias("issuedt"),
+        parse_dayfirst(F.col("_issuedt")).alias("issuedt"),
         F.col("model"),
         F.col("car"),
         F.col("driver.name").alias("name"),
