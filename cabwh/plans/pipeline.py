@@ -84,6 +84,14 @@ def read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
     return spark.read.parquet(path)
 
 
+# fact table -> (partition column, timestamp it is the date of)
+FACT_PARTITION = {
+    "fact_rides": ("end_date", "ride_end_dt"),
+    "fact_waybills": ("start_date", "work_start_dt"),
+    "fact_payments": ("pay_date", "transaction_dt"),
+}
+
+
 @dataclass
 class Inputs:
     """What a batch reads from the sources (tables or file drops)."""
@@ -119,10 +127,25 @@ class Pipeline:
 
     # -- facts --------------------------------------------------------------------------------
     def _append_new(self, delta: DataFrame, table: str, keys: list[str]) -> None:
+        """Insert-ignore into a date-partitioned fact table.
+
+        A key that repeats carries the same time as its stored row: a ride's END / CANCEL,
+        a waybill's start and a payment's time are immutable source events, and they are
+        what the partition date is the date of. So the anti-join probes only partitions
+        from the delta's earliest date on (plus the NULL-date partition): exact, and the
+        probe reads one key column of a few recent partitions instead of the whole history.
+        """
         path = self.t(table)
+        part, ts = FACT_PARTITION[table]
         target = read_or_none(self.spark, path)
-        new = delta if target is None else insert_ignore(target, delta, keys)
-        new.write.mode("append").parquet(path)
+        if target is None:
+            new = delta
+        else:
+            lo = delta.agg(F.min(ts)).first()[0]   # one-row aggregate of the (checkpointed) delta
+            probe = None if lo is None else (F.col(part) >= F.lit(lo.date())) | F.col(part).isNull()
+            new = insert_ignore(target, delta, keys, target_filter=probe)
+        (new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts)
+         .write.mode("append").partitionBy(part).parquet(path))
 
     def load_facts(self, inp: Inputs, wm: _dt.datetime) -> None:
         since = extract.extract_since
@@ -139,11 +162,17 @@ class Pipeline:
             rd = rd.unionByName(inp.rides.join(ids, inp.rides.ride_id == ids._qid, "left_semi")).dropDuplicates(["ride_id"])
             mv = mv.unionByName(inp.movement.join(ids, inp.movement.ride == ids._qid, "left_semi")) \
                 .dropDuplicates(["movement_id"])
-        all_waybills = self.spark.read.parquet(self.t("fact_waybills"))
-        fr = facts.build_fact_rides(mv, rd, all_waybills)
+        rd = rd.checkpoint()
+        first_order = rd.agg(F.min("dt")).first()[0]
+        # only waybills still open at the earliest order time can contain a ride of the batch
+        waybills = self.table("fact_waybills")
+        if first_order is not None:
+            waybills = waybills.filter(F.col("work_end_dt") >= F.lit(first_order))
+        fr = facts.build_fact_rides(mv, rd, waybills)
         matched = fr.rides.checkpoint()
         self._append_new(matched, "fact_rides", ["ride_id"])
-        done = self.spark.read.parquet(self.t("fact_rides")).select("ride_id")
+        # a ride ends after it is ordered: stored rides of the batch sit in later partitions
+        done = self.table("fact_rides", since=first_order.date() if first_order else None).select("ride_id")
         still = fr.quarantine.join(done, "ride_id", "left_anti")
         write_snapshot(still, self.t("quarantine_rides"), self.batch)
 
@@ -174,23 +203,35 @@ class Pipeline:
             raise
         self.record(started_at, STATUS_SUCCESS)
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, since: _dt.date | None = None, on: _dt.date | None = None) -> DataFrame:
+        """A warehouse table; for facts ``since`` / ``on`` prune date partitions before the
+        partition column is dropped (the plans filter on the timestamps themselves too)."""
         snap = latest_snapshot(self.spark, self.t(name))
-        return self.spark.read.parquet(snap or self.t(name))
+        df = self.spark.read.parquet(snap or self.t(name))
+        if name in FACT_PARTITION:
+            part = FACT_PARTITION[name][0]
+            if since is not None:
+                df = df.filter(F.col(part) >= F.lit(since))
+            if on is not None:
+                df = df.filter(F.col(part) == F.lit(on))
+            df = df.drop(part)
+        return df
 
     def run_marts(self, report_dt: _dt.date, started_at: _dt.datetime) -> None:
         """The four reports for ``report_dt``; re-running a day replaces that day."""
         batch = int(started_at.strftime("%Y%m%d%H%M%S"))
-        fr, fw, fp = self.table("fact_rides"), self.table("fact_waybills"), self.table("fact_payments")
+        fr, fp = self.table("fact_rides"), self.table("fact_payments")
+        fr_day = self.table("fact_rides", on=report_dt)          # rides that ended on the day
+        fw_since = self.table("fact_waybills", since=report_dt)  # shifts from the day on
         dd, dc = self.table("dim_drivers"), self.table("dim_clients")
-        append_mart(marts.drivers_payments(fr, dd, report_dt), self.t("rep_drivers_payments"))
+        append_mart(marts.drivers_payments(fr_day, dd, report_dt), self.t("rep_drivers_payments"))
         prior_path = self.t("rep_drivers_violations")
         # only earlier days are read (prior_violations filters report_dt < day): the
         # partition being written is never an input of its own job
         prior = read_or_none(self.spark, prior_path)
-        append_mart(marts.drivers_violations(fr, prior, report_dt), prior_path)
-        append_mart(marts.drivers_overtime(fw, report_dt), self.t("rep_drivers_overtime"))
-        append_mart(marts.drivers_overtime_clipped(fw, report_dt), self.t("rep_drivers_overtime_clipped"))
+        append_mart(marts.drivers_violations(fr_day, prior, report_dt), prior_path)
+        append_mart(marts.drivers_overtime(fw_since, report_dt), self.t("rep_drivers_overtime"))
+        append_mart(marts.drivers_overtime_clipped(fw_since, report_dt), self.t("rep_drivers_overtime_clipped"))
         hist = marts.clients_hist(dc, fp, fr)
         old = read_or_none(self.spark, latest_snapshot(self.spark, self.t("rep_clients_hist")))
         new = hist if old is None else upsert(old, hist, ["client_id"],
