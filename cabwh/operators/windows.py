@@ -74,3 +74,21 @@ def sliding_sum(df: DataFrame, key: str, ts: str, value: Column | str, span_us:
     excl = local.filter(F.col("_probe")).select("_id", (F.col("_excl") + F.col("_off")).alias("_p_excl"))
     return incl.join(excl, "_id", "inner").select(
         "_row.*", (F.col("_p_incl") - F.col("_p_excl")).cast("bigint").alias(out))
+
+
+def split_lag(df: DataFrame, key: str, ts: str, tiebreak: str, out: str) -> DataFrame:
+    """``LAG(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` computed per (key, day).
+
+    Inside a day the window gives the previous row; the first row of a day takes the
+    latest ``ts`` of the key's nearest earlier day that has rows, from a per-(key, day)
+    summary (one row per active day of a key).
+    """
+    day = F.to_date(ts)
+    local = df.withColumn("_day", day).withColumn(
+        "_prev_in_day", F.lag(ts).over(Window.partitionBy(key, "_day").orderBy(ts, tiebreak)))
+    last = (local.groupBy(key, "_day").agg(F.max(ts).alias("_last"))
+            .withColumn("_prev_day_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_day")))
+            .select(key, "_day", "_prev_day_last"))
+    return (local.join(last, [key, "_day"], "inner")
+            .withColumn(out, F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last")))
+            .drop("_day", "_prev_in_day", "_prev_day_last"))

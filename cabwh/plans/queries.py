@@ -24,7 +24,7 @@ from cabwh.functions import (
     trim_plate,
 )
 from cabwh.operators.scd2 import as_of, versions_from_history
-from cabwh.operators.windows import sliding_sum
+from cabwh.operators.windows import sliding_sum, split_lag
 from cabwh.operators.writes import dedupe_keep_last, first_per_key, insert_ignore_result, upsert
 from cabwh.plans import dims, facts, marts
 from cabwh.plans.warehouse import Warehouse
@@ -316,20 +316,19 @@ def q_violation_running_count(spark, sf):
 
 @query("sliding_24h_work")
 def q_sliding_24h_work(spark, sf):
+    """W3 over each driver's whole history, split by (driver, hour) (see ``sliding_sum``)."""
     fw = Warehouse(spark, sf).fact_waybills
-    w = marts.shift_windows(fw.select("waybill_num", "driver_pers_num", "work_start_dt", "work_end_dt",
-                                      seconds_between("work_start_dt", "work_end_dt").alias("work_s"),
-                                      marts.epoch_seconds("work_start_dt").alias("_start_s")))
-    return w.select("waybill_num", "driver_pers_num", "work_start_dt", "work_s", "cum_work_s")
+    shifts = fw.select("waybill_num", "driver_pers_num", "work_start_dt",
+                       seconds_between("work_start_dt", "work_end_dt").alias("work_s"))
+    return sliding_sum(shifts, "driver_pers_num", "work_start_dt", "work_s", DAY_US, "cum_work_s",
+                       id_col="waybill_num")
 
 
 @query("prev_shift_start")
 def q_prev_shift_start(spark, sf):
-    fw = Warehouse(spark, sf).fact_waybills
-    w = marts.shift_windows(fw.select("waybill_num", "driver_pers_num", "work_start_dt", "work_end_dt",
-                                      seconds_between("work_start_dt", "work_end_dt").alias("work_s"),
-                                      marts.epoch_seconds("work_start_dt").alias("_start_s")))
-    return w.select("waybill_num", "driver_pers_num", "work_start_dt", "prev_start")
+    """W4 over each driver's whole history, split by (driver, day) (see ``split_lag``)."""
+    fw = Warehouse(spark, sf).fact_waybills.select("waybill_num", "driver_pers_num", "work_start_dt")
+    return split_lag(fw, "driver_pers_num", "work_start_dt", "waybill_num", "prev_start")
 
 
 @query("cumulative_paid")

@@ -93,3 +93,17 @@ def test_payout_report_uses_half_open_day(spark, sf_small):
     wh = Warehouse(spark, sf_small)
     p = marts.drivers_payments(wh.fact_rides, wh.dim_drivers, REPORT_DAY)
     assert p.select("report_dt").distinct().collect()[0][0] == REPORT_DAY
+
+
+def test_split_lag_equals_lag(spark):
+    from cabwh.operators.windows import split_lag
+
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(f"w{i}", rnd.choice(["a", "a", "a", "b", "c"]),
+             base + dt.timedelta(hours=rnd.choice([0, 5, 30, 31, 100, 250]) + rnd.randint(0, 3))) for i in range(500)]
+    df = spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz")
+    a = {r.id: r.p for r in split_lag(df, "k", "ts", "id", "p").collect()}
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    b = {r.id: r.p for r in df.withColumn("p", F.lag("ts").over(w)).collect()}
+    assert a == b
