@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabwh.constants import EVENT_BEGIN, EVENT_CANCEL, EVENT_END, EVENT_READY
@@ -83,9 +83,18 @@ class FactRides:
     quarantine: DataFrame   # no waybill matched: retried by the next load
 
 
-def build_fact_rides(movement: DataFrame, rides: DataFrame, fact_waybills: DataFrame) -> FactRides:
-    """C8 = C5 -> C6 -> C7 -> projection; unmatched rides go to quarantine instead of aborting."""
-    looked = ride_driver_lookup(finished_rides(movement, rides), fact_waybills)
+def build_fact_rides(movement: DataFrame, rides: DataFrame, fact_waybills: DataFrame,
+                     where: Column | None = None) -> FactRides:
+    """C8 = C5 -> C6 -> C7 -> projection; unmatched rides go to quarantine instead of aborting.
+
+    ``where`` restricts the finished rides *before* the lookup (e.g. to rides that ended on
+    a report day). The ranking of C7 is per ride, so this equals filtering the result, but
+    Catalyst cannot push a filter on a non-partition column through that window itself.
+    """
+    finished = finished_rides(movement, rides)
+    if where is not None:
+        finished = finished.filter(where)
+    looked = ride_driver_lookup(finished, fact_waybills)
     matched = looked.filter(F.col("driver_pers_num").isNotNull()).select(*FACT_RIDES_COLUMNS)
     unmatched = looked.filter(F.col("driver_pers_num").isNull()).select("ride_id", "car_plate_num", "dt")
     return FactRides(matched, unmatched)

@@ -311,7 +311,8 @@ def q_ride_client_interval_join(spark, sf):
 
 @query("violation_running_count")
 def q_violation_running_count(spark, sf):
-    return marts.day_violation_counts(Warehouse(spark, sf).fact_rides, REPORT_DAY)
+    day_rides = Warehouse(spark, sf).fact_rides_ended(REPORT_DAY, REPORT_DAY + _dt.timedelta(days=1))
+    return marts.day_violation_counts(day_rides, REPORT_DAY)
 
 
 @query("sliding_24h_work")
@@ -352,14 +353,17 @@ def q_events_sliding_24h(spark, sf):
 @query("drivers_payments")
 def q_drivers_payments(spark, sf):
     wh = Warehouse(spark, sf)
-    return marts.drivers_payments(wh.fact_rides, wh.dim_drivers, REPORT_DAY)
+    day_rides = wh.fact_rides_ended(REPORT_DAY, REPORT_DAY + _dt.timedelta(days=1))
+    return marts.drivers_payments(day_rides, wh.dim_drivers, REPORT_DAY)
 
 
 @query("drivers_violations_day")
 def q_drivers_violations_day(spark, sf):
-    fr = Warehouse(spark, sf).fact_rides
-    prior = marts.drivers_violations_full(fr).filter(F.col("report_dt") < F.lit(REPORT_DAY))
-    return marts.drivers_violations(fr, prior, REPORT_DAY)
+    """The day's report with the prior report rows of all earlier days (the mart's own history)."""
+    wh = Warehouse(spark, sf)
+    upto = wh.fact_rides_ended(None, REPORT_DAY + _dt.timedelta(days=1))
+    prior = marts.drivers_violations_full(upto).filter(F.col("report_dt") < F.lit(REPORT_DAY))
+    return marts.drivers_violations(upto, prior, REPORT_DAY)
 
 
 @query("drivers_violations_full")

@@ -57,6 +57,15 @@ class Warehouse:
     def fact_rides(self) -> DataFrame:
         return self.fact_rides_all.rides
 
+    def fact_rides_ended(self, lo=None, hi=None) -> DataFrame:
+        """fact_rides restricted to ``lo <= ride_end_dt < hi`` before the driver lookup."""
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("ride_end_dt") >= ts_lit(lo))
+        if hi is not None:
+            cond = cond & (F.col("ride_end_dt") < ts_lit(hi))
+        return facts.build_fact_rides(self.movement, self.rides, self.fact_waybills, where=cond).rides
+
     @cached_property
     def fact_payments(self) -> DataFrame:
         fp = facts.build_fact_payments(self.src.payments)

@@ -28,13 +28,28 @@ def scan_partitions(df: DataFrame, key: tuple | None = None) -> int:
     return n
 
 
-def spread(df: DataFrame, key: tuple | None = None) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _size(path: str) -> int | None:
+    if not os.path.exists(path):
+        return None  # not a local path: treat as large
+    if os.path.isfile(path):
+        return os.path.getsize(path)
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
+
+
+def spread(df: DataFrame, key: tuple | None = None, path: str | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has cores.
 
-    A small file with a single row group is read by one task, and every per-row step
-    before the first shuffle would run in that task. Large inputs split into many scan
-    partitions by themselves and are returned untouched (no extra shuffle at scale).
+    A file with a single row group is read by one task, and every per-row step before the
+    first shuffle would run in that task. Large inputs split into many scan partitions by
+    themselves and are returned untouched (no extra shuffle at scale); tiny ones (under
+    1 MiB) are not worth a shuffle either.
     """
+    size = _size(path) if path else None
+    if size is not None and size < SPREAD_MIN_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if scan_partitions(df, key) < cores:
         return df.repartition(cores)
@@ -54,5 +69,5 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
         df = spark.read.parquet(path)
         if columns:
             df = df.select(*columns)
-        _READS[key] = spread(df, _stamp(spark, path)) if spread_small else df
+        _READS[key] = spread(df, _stamp(spark, path), path) if spread_small else df
     return _READS[key]
