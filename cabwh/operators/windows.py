@@ -40,8 +40,36 @@ def sliding_sum_simple(df: DataFrame, key: str, ts: str, value: Column | str, sp
 
 
 def sliding_sum(df: DataFrame, key: str, ts: str, value: Column | str, span_us: int, out: str,
-                bucket_us: int = _HOUR_US, id_col: str | None = None) -> DataFrame:
-    """The same sliding sum, split by (key, time bucket).
+                id_col: str | None = None, strategy: str = "halo", bucket_us: int = _HOUR_US) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY key ORDER BY ts RANGE span PRECEDING)``, split by time bucket.
+
+    ``strategy="halo"`` (default): buckets one span wide; every row goes to its own bucket
+    and, as a halo copy, to the next one. The frame [ts - span, ts] of a row in bucket b
+    lies in buckets b - 1 and b, which are both in partition (key, b), so one window per
+    (key, bucket) is exact; halo rows are dropped afterwards. One shuffle of 2x the rows.
+    ``strategy="prefix"``: two-level prefix sums with ``bucket_us`` buckets (see
+    :func:`sliding_sum_prefix`), for splits finer than one span.
+    """
+    if strategy == "prefix":
+        return sliding_sum_prefix(df, key, ts, value, span_us, out, bucket_us=bucket_us, id_col=id_col)
+    if strategy != "halo":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    v = F.col(value) if isinstance(value, str) else value
+    t = epoch_micros(ts)
+    own = F.floor(t / F.lit(span_us)).cast("bigint")
+    rows = (df.withColumn("_t", t).withColumn("_v", v.cast("bigint"))
+            .withColumn("_own", own)
+            .withColumn("_halo", F.explode(F.array(F.lit(False), F.lit(True))))
+            .withColumn("_b", F.col("_own") + F.col("_halo").cast("bigint")))
+    w = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(-span_us, 0)
+    return (rows.withColumn(out, F.sum("_v").over(w).cast("bigint"))
+            .filter(~F.col("_halo"))
+            .drop("_t", "_v", "_own", "_halo", "_b"))
+
+
+def sliding_sum_prefix(df: DataFrame, key: str, ts: str, value: Column | str, span_us: int, out: str,
+                       bucket_us: int = _HOUR_US, id_col: str | None = None) -> DataFrame:
+    """The same sliding sum, split by (key, time bucket) of any width.
 
     sum over [ts - span, ts] = P(ts, inclusive) - P(ts - span, exclusive), where P is the
     per-key prefix sum of ``value`` in time order. Each row becomes a data row at ts and a

@@ -21,7 +21,7 @@ from cabwh.functions import (
 )
 from cabwh.operators.lookup import explode_days, interval_join
 from cabwh.operators.scd2 import as_of
-from cabwh.operators.windows import running_index
+from cabwh.operators.windows import running_index, sliding_sum, split_lag
 
 
 def _day(report_dt) -> _dt.date:
@@ -80,11 +80,18 @@ def violations(fact_rides: DataFrame, report_dt=None) -> DataFrame:
     )
 
 
+RIDE_CHUNK = 1 << 20  # ride ids per chunk of the split numbering
+
+
 def day_violation_counts(fact_rides: DataFrame, report_dt) -> DataFrame:
-    """The day's violations numbered per driver by ride id, from 0."""
-    w = Window.partitionBy("personnel_num").orderBy("ride")
-    return violations(fact_rides, report_dt).withColumn("violations_cnt",
-                                                        (F.row_number().over(w) - 1).cast("bigint"))
+    """The day's violations numbered per driver by ride id, from 0.
+
+    ``ROW_NUMBER() OVER (PARTITION BY driver ORDER BY ride) - 1``, split by ride-id chunk
+    (ordering by (chunk, ride) is ordering by ride), so a driver with a huge day is not
+    numbered in one task.
+    """
+    v = violations(fact_rides, report_dt).withColumn("_chunk", F.floor(F.col("ride") / RIDE_CHUNK))
+    return running_index(v, "personnel_num", "_chunk", "ride", "violations_cnt").drop("_chunk")
 
 
 def prior_violations(prior: DataFrame, report_dt) -> DataFrame:
@@ -126,8 +133,17 @@ def shifts_since(fact_waybills: DataFrame, report_dt) -> DataFrame:
         epoch_seconds("work_start_dt").alias("_start_s"))
 
 
-def shift_windows(shifts: DataFrame) -> DataFrame:
-    """W3 + W4: 24 h sliding work sum (peers included) and the previous shift start per driver."""
+def shift_windows(shifts: DataFrame, split: bool = True) -> DataFrame:
+    """W3 + W4: 24 h sliding work sum (peers included) and the previous shift start per driver.
+
+    ``split=True`` computes both per (driver, time bucket) with ``sliding_sum`` and
+    ``split_lag`` (a driver with a huge history is not one task); ``split=False`` is the
+    plain ``PARTITION BY driver`` window of the same definition.
+    """
+    if split:
+        summed = sliding_sum(shifts, "driver_pers_num", "work_start_dt", "work_s", OVERTIME_SPAN_S * 1_000_000,
+                             "cum_work_s", id_col="waybill_num")
+        return split_lag(summed, "driver_pers_num", "work_start_dt", "waybill_num", "prev_start")
     by_driver = Window.partitionBy("driver_pers_num")
     span = by_driver.orderBy("_start_s").rangeBetween(-OVERTIME_SPAN_S, 0)
     seq = by_driver.orderBy("work_start_dt", "waybill_num")

@@ -26,9 +26,10 @@ def test_sliding_sum_equals_plain_window_with_a_hot_key(spark):
     rows.append((3000, 0, rows[0][2], 7))                                   # a peer with an equal timestamp
     rows.append((3001, 0, rows[0][2] + dt.timedelta(days=1), 11))           # exactly 24 h later: boundary
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v long")
-    a = {r.id: r.s for r in sliding_sum(df, "k", "ts", "v", DAY_US, "s", id_col="id").collect()}
     b = {r.id: r.s for r in sliding_sum_simple(df, "k", "ts", "v", DAY_US, "s").collect()}
-    assert a == b and len(a) == len(rows)
+    for strategy in ("halo", "prefix"):
+        a = {r.id: r.s for r in sliding_sum(df, "k", "ts", "v", DAY_US, "s", id_col="id", strategy=strategy).collect()}
+        assert a == b and len(a) == len(rows), strategy
 
 
 def test_running_index_equals_row_number(spark):
