@@ -173,13 +173,15 @@ def waybills(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, n: int, mv: DataFrame | None = None,
+             rd: DataFrame | None = None) -> DataFrame:
     """Payment file rows: one per completed ride with k % 5 <> 0, paid 60 s after END.
 
     ``transaction_dt`` is the raw day-first text and ``card_num`` has no blanks, as in the file.
     """
-    mv = movement(spark, sf_dir, n).filter(F.col("event") == EVENT_END).select("ride", F.col("dt").alias("end_dt"))
-    r = rides(spark, sf_dir, n).filter((F.col("ride_id") % 5) != 0)
+    mv = (mv if mv is not None else movement(spark, sf_dir, n)) \
+        .filter(F.col("event") == EVENT_END).select("ride", F.col("dt").alias("end_dt"))
+    r = (rd if rd is not None else rides(spark, sf_dir, n)).filter((F.col("ride_id") % 5) != 0)
     return r.join(mv, r.ride_id == mv.ride).select(
         F.date_format(add_seconds(F.col("end_dt"), 60), "dd.MM.yyyy HH:mm:ss").alias("transaction_dt"),
         F.regexp_replace("card_num", " ", "").alias("card_num"),
@@ -277,12 +279,21 @@ class Sources:
 
     @cached_property
     def payments(self) -> DataFrame:
-        return self._make(payments)
+        return payments(self.spark, self.sf_dir, self.n_cars, self.movement, self.rides)
 
     @cached_property
     def ledger(self) -> DataFrame:
         return ledger(self.spark, self.sf_dir)
 
 
+_SOURCES: dict[tuple, Sources] = {}
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(spark, sf_dir)
+    """The sources of ``sf_dir``; one (lazily built, immutable) set per session and file version."""
+    key = (*_stamp(spark, os.path.join(sf_dir, "orders.parquet")),
+           _stamp(spark, os.path.join(sf_dir, "supplier.parquet"))[2],
+           _stamp(spark, os.path.join(sf_dir, "events.parquet"))[2])
+    if key not in _SOURCES:
+        _SOURCES[key] = Sources(spark, sf_dir)
+    return _SOURCES[key]
