@@ -212,8 +212,45 @@ def rides_by_client_card(fact_rides: DataFrame, dim_clients: DataFrame) -> DataF
     )
 
 
-def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: DataFrame) -> DataFrame:
-    """rep_clients_hist: per client version rides, cancellations, running paid and running debt."""
+def restrict_to_phones(affected: DataFrame, dim_clients: DataFrame, fact_payments: DataFrame,
+                       fact_rides: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The inputs of the client history for the phones in ``affected`` (column ``phone_num``) only.
+
+    Semi-joins keep the plans' shapes: the versions of those phones, their rides, and all
+    payments of any card one of those versions uses (a card shared with another phone
+    brings that card's whole payment sum, as in the full report).
+    """
+    a = affected.select("phone_num").distinct()
+    dc = dim_clients.join(a, "phone_num", "left_semi")
+    fr = fact_rides.join(a.withColumnRenamed("phone_num", "client_phone_num"), "client_phone_num", "left_semi")
+    cards = dc.select(F.col("card_num").alias("_card")).distinct()
+    fp = fact_payments.join(cards, format_card("card_num") == F.col("_card"), "left_semi")
+    return dc, fp, fr
+
+
+def affected_phones(dim_clients: DataFrame, new_versions: DataFrame, new_rides: DataFrame,
+                    new_payments: DataFrame) -> DataFrame:
+    """Phones whose history rows can change in a batch: new versions, new fact rides, or a new
+    payment on a card one of their versions uses."""
+    by_card = (dim_clients.select("phone_num", "card_num")
+               .join(new_payments.select(format_card("card_num").alias("_card")).distinct(),
+                     F.col("card_num") == F.col("_card"), "left_semi")
+               .select("phone_num"))
+    return (new_versions.select("phone_num")
+            .unionByName(new_rides.select(F.col("client_phone_num").alias("phone_num")))
+            .unionByName(by_card).distinct())
+
+
+def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: DataFrame,
+                 affected: DataFrame | None = None) -> DataFrame:
+    """rep_clients_hist: per client version rides, cancellations, running paid and running debt.
+
+    With ``affected`` (phones, see :func:`affected_phones`) only those phones' rows are
+    recomputed; upserted into the stored history they give the full report, so a daily run
+    shuffles the batch's phones instead of every client.
+    """
+    if affected is not None:
+        dim_clients, fact_payments, fact_rides = restrict_to_phones(affected, dim_clients, fact_payments, fact_rides)
     fp = paid_by_card(fact_payments).withColumnRenamed("card_num", "_fp_card")
     frg = rides_by_client_card(fact_rides, dim_clients).withColumnRenamed("card_num", "_frg_card")
     base = (dim_clients.join(fp, dim_clients.card_num == fp._fp_card, "left")

@@ -8,6 +8,7 @@ Storage layout under one warehouse folder (on a cluster: a shared path):
 * ``rep_clients_hist/snapshot=N``  the historical mart, upserted into a new snapshot
 * ``work_batchdate``      the batch ledger
 * ``quarantine_rides``    rides without a matching waybill, retried by the next batch
+* ``touched_phones``      phones each batch touched; the next history report recomputes only those
 
 Nothing is ever overwritten while it is being read: dimensions and the client history are
 written to a new snapshot folder and only then become the newest one. Each write is one
@@ -22,6 +23,7 @@ import os
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,9 +81,16 @@ def write_snapshot(df: DataFrame, table: str, batch: int) -> str:
 
 
 def read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The table at ``path``, or None when it does not exist or holds no rows yet (a job that
+    wrote zero rows leaves only ``_SUCCESS``, and there is no schema to read)."""
     if path is None or not _exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 # fact table -> (partition column, timestamp it is the date of)
@@ -177,7 +186,9 @@ class Pipeline:
         write_snapshot(still, self.t("quarantine_rides"), self.batch)
 
         # payments come from files already selected by modification time (modifiedAfter)
-        self._append_new(facts.build_fact_payments(inp.payments), "fact_payments", ["transaction_id"])
+        pay = facts.build_fact_payments(inp.payments).checkpoint()
+        self._append_new(pay, "fact_payments", ["transaction_id"])
+        self._batch_rides, self._batch_payments = matched, pay
 
     # -- dimensions (C12-C15) -----------------------------------------------------------------
     def _dim(self, table: str, delta: DataFrame, apply) -> None:
@@ -188,7 +199,13 @@ class Pipeline:
         w = ts_lit(wm)
         self._dim("dim_cars", dims.cars_delta(inp.car_pool, w), lambda cur, d: dims.apply_cars(cur, d))
         self._dim("dim_drivers", dims.drivers_delta(inp.drivers, w), lambda cur, d: dims.apply_drivers(cur, d))
-        self._dim("dim_clients", dims.clients_delta(inp.rides, w), lambda cur, d: dims.apply_clients(cur, d))
+        new_versions = dims.clients_delta(inp.rides, w).checkpoint()
+        self._dim("dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
+        # phones whose client-history rows this batch can change (a superset is fine)
+        touched = marts.affected_phones(self.table("dim_clients"), new_versions, self._batch_rides,
+                                        self._batch_payments)
+        touched.withColumn("batch", F.lit(self.batch)).write.mode("append").partitionBy("batch") \
+            .parquet(self.t("touched_phones"))
 
     # -- the two jobs --------------------------------------------------------------------------
     def run_etl(self, inp: Inputs, started_at: _dt.datetime) -> None:
@@ -232,11 +249,17 @@ class Pipeline:
         append_mart(marts.drivers_violations(fr_day, prior, report_dt), prior_path)
         append_mart(marts.drivers_overtime(fw_since, report_dt), self.t("rep_drivers_overtime"))
         append_mart(marts.drivers_overtime_clipped(fw_since, report_dt), self.t("rep_drivers_overtime_clipped"))
-        hist = marts.clients_hist(dc, fp, fr)
-        old = read_or_none(self.spark, latest_snapshot(self.spark, self.t("rep_clients_hist")))
-        new = hist if old is None else upsert(old, hist, ["client_id"],
-                                              ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt",
-                                               "deleted_flag"])
+        prev = latest_snapshot(self.spark, self.t("rep_clients_hist"))
+        if prev is None:                                   # first report: every client
+            new = marts.clients_hist(dc, fp, fr)
+        else:                                              # only phones touched since the last report
+            since = int(prev.rsplit("=", 1)[1])
+            touched = read_or_none(self.spark, self.t("touched_phones"))
+            touched = (touched.filter(F.col("batch") > F.lit(since)) if touched is not None
+                       else dc.select("phone_num").limit(0))
+            part = marts.clients_hist(dc, fp, fr, affected=touched)
+            new = upsert(self.spark.read.parquet(prev), part, ["client_id"],
+                         ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt", "deleted_flag"])
         write_snapshot(new, self.t("rep_clients_hist"), batch)
 
 

@@ -203,6 +203,20 @@ def q_upsert_update(spark, sf):
     return upsert(old, new, ["client_id"], CLIENTS_HIST_UPDATE_COLS)
 
 
+@query("clients_hist_incremental")
+def q_clients_hist_incremental(spark, sf):
+    """History as of the cut, then only the phones the second load touches recomputed and upserted."""
+    src, first, full = _two_batches(spark, sf)
+    old = marts.clients_hist(first.dim_clients, first.fact_payments, first.fact_rides)
+    cut = F.lit(BATCH1_UNTIL).cast("timestamp_ntz")
+    new_rides = full.fact_rides.join(first.fact_rides.select("ride_id"), "ride_id", "left_anti")
+    new_versions = full.dim_clients.filter(F.col("start_dt") > cut)
+    new_payments = full.fact_payments.filter(F.col("transaction_dt") > cut)
+    touched = marts.affected_phones(full.dim_clients, new_versions, new_rides, new_payments)
+    part = marts.clients_hist(full.dim_clients, full.fact_payments, full.fact_rides, affected=touched)
+    return upsert(old, part, ["client_id"], CLIENTS_HIST_UPDATE_COLS)
+
+
 @query("dedupe_keep_last")
 def q_dedupe_keep_last(spark, sf):
     """A re-run appended the versions newer than the cut a second time; keep the last load."""

@@ -52,8 +52,9 @@ def loaded(spark, sf_small):
     prev = None
     for b in BATCHES:
         p.run_etl(_inputs(src, prev, b), started_at=b)
+        # the daily reports after every load: the client history is upserted incrementally
+        p.run_marts(REPORT_DAY, started_at=b + dt.timedelta(hours=1))
         prev = b
-    p.run_marts(REPORT_DAY, started_at=BATCHES[-1])
     return p, src
 
 
@@ -90,7 +91,7 @@ def test_rerun_and_ledger(spark, sf_small, loaded):
     before = {t: _rows(p.table(t)) for t in ("fact_rides", "fact_payments", "dim_drivers", "dim_clients")}
     again = dt.datetime(2024, 2, 2)
     p.run_etl(_inputs(src, BATCHES[-1], again), started_at=again)          # nothing new arrived
-    p.run_marts(REPORT_DAY, started_at=again)                               # same day again: replaced
+    p.run_marts(REPORT_DAY, started_at=again + dt.timedelta(hours=1))       # same day again: replaced
     for t, rows in before.items():
         assert _rows(p.table(t)) == rows, t
     assert spark.read.parquet(p.t("rep_drivers_payments")).count() == \
