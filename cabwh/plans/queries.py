@@ -68,6 +68,12 @@ def q_batch_ledger(spark, sf):
     return extract.record_batch(spark, src.ledger, LEDGER_NEXT_RUN, STATUS_SUCCESS)
 
 
+@query("car_pool_preview")
+def q_car_pool_preview(spark, sf):
+    """The first rows of the car pool (a preview: the limit is the feature), in plate order."""
+    return load_sources(spark, sf).car_pool.orderBy("plate_num").limit(5)
+
+
 # --- files ----------------------------------------------------------------------------------------
 
 @query("xml_waybills")
