@@ -41,21 +41,24 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], update_cols
     """INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols = EXCLUDED.update_cols.
 
     New keys are inserted whole; for existing keys only ``update_cols`` take the delta's
-    value, all other columns keep the target's. One full outer join on the key.
+    value, all other columns keep the target's. Written as
+    (target rows whose key is not in the delta) + (delta left-joined to the target rows it
+    hits): when the delta is small its key set is broadcast (AQE, by measured size) and the
+    large target is filtered in place instead of being shuffled by a full outer join.
     """
-    t = target.withColumn("_in_t", F.lit(True))
-    d = delta.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in delta.columns if c not in keys],
-                     F.lit(True).alias("_in_d"))
-    j = t.join(d, list(keys), "full_outer")
+    keys = list(keys)
+    dk = delta.select(*keys)
+    untouched = target.join(dk, keys, "left_anti")
+    hit = target.join(dk, keys, "left_semi").select(
+        *keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("_in_t"))
+    j = delta.join(hit, keys, "left")
     out = []
     for c in target.columns:
-        if c in keys:
+        if c in keys or c in update_cols:
             out.append(F.col(c))
-        elif c in update_cols:
-            out.append(F.when(F.col("_in_d"), F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c))
         else:
-            out.append(F.when(F.col("_in_t"), F.col(c)).otherwise(F.col(f"_d_{c}")).alias(c))
-    return j.select(*out)
+            out.append(F.when(F.col("_in_t"), F.col(f"_t_{c}")).otherwise(F.col(c)).alias(c))
+    return untouched.unionByName(j.select(*out))
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], load_order: str) -> DataFrame:
