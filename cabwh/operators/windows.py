@@ -54,17 +54,35 @@ def sliding_sum(df: DataFrame, key: str, ts: str, value: Column | str, span_us:
         return sliding_sum_prefix(df, key, ts, value, span_us, out, bucket_us=bucket_us, id_col=id_col)
     if strategy != "halo":
         raise ValueError(f"unknown strategy {strategy!r}")
+    return range_sum(df, key, ts, value, -span_us, 0, out)
+
+
+def range_sum(df: DataFrame, key: str, ts: str, value: Column | str, lower_us: int, upper_us: int,
+              out: str) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN lower AND upper)`` (offsets in
+    microseconds, both inclusive), split by (key, bucket) with a halo.
+
+    Buckets are as wide as the farthest offset; the frame of a row in bucket b then lies in
+    buckets b - 1 .. b + 1. A row is copied into the neighbouring bucket that needs it: the
+    next one when frames look back (lower < 0), the previous one when they look forward
+    (upper > 0). One shuffle; only the rows in their own bucket are kept.
+    """
+    width = max(-lower_us, upper_us, 1)
     v = F.col(value) if isinstance(value, str) else value
     t = epoch_micros(ts)
-    own = F.floor(t / F.lit(span_us)).cast("bigint")
+    shifts = [F.lit(0)]
+    if lower_us < 0:
+        shifts.append(F.lit(1))
+    if upper_us > 0:
+        shifts.append(F.lit(-1))
     rows = (df.withColumn("_t", t).withColumn("_v", v.cast("bigint"))
-            .withColumn("_own", own)
-            .withColumn("_halo", F.explode(F.array(F.lit(False), F.lit(True))))
-            .withColumn("_b", F.col("_own") + F.col("_halo").cast("bigint")))
-    w = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(-span_us, 0)
+            .withColumn("_own", F.floor(F.col("_t") / F.lit(width)).cast("bigint"))
+            .withColumn("_shift", F.explode(F.array(*shifts)))
+            .withColumn("_b", F.col("_own") + F.col("_shift")))
+    w = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(lower_us, upper_us)
     return (rows.withColumn(out, F.sum("_v").over(w).cast("bigint"))
-            .filter(~F.col("_halo"))
-            .drop("_t", "_v", "_own", "_halo", "_b"))
+            .filter(F.col("_shift") == 0)
+            .drop("_t", "_v", "_own", "_shift", "_b"))
 
 
 def sliding_sum_prefix(df: DataFrame, key: str, ts: str, value: Column | str, span_us: int, out: str,

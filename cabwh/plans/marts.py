@@ -21,7 +21,7 @@ from cabwh.functions import (
 )
 from cabwh.operators.lookup import explode_days, interval_join
 from cabwh.operators.scd2 import as_of
-from cabwh.operators.windows import running_index, sliding_sum, split_lag
+from cabwh.operators.windows import range_sum, running_index, sliding_sum, split_lag
 
 
 def _day(report_dt) -> _dt.date:
@@ -167,27 +167,42 @@ def drivers_overtime(fact_waybills: DataFrame, report_dt) -> DataFrame:
 def drivers_overtime_clipped(fact_waybills: DataFrame, report_dt) -> DataFrame:
     """Corrected overtime: for each shift i starting on the day, the work done in [start_i, start_i + 24 h).
 
-    A band self-join: shift i meets shift j of the same driver when
-    start_i <= start_j < start_i + 24 h; the day bucket (j's start day = i's day or the next)
-    is a second equi-key, so only shifts of those two days are compared.
+    total_i = sum over shifts j with start_i <= start_j < T_i (T_i = start_i + 24 h) of
+    min(end_j, T_i) - start_j = work_j - max(0, end_j - T_i), so
+
+    * A_i = sum of work_j over the forward frame [start_i, T_i): a split RANGE window, and
+    * B_i = sum of (end_j - T_i) over the shifts that are still open at T_i
+      (start_i <= start_j < T_i < end_j): an interval-containment join on (driver, day of T_i)
+      like the waybill lookup, whose pairs are bounded by how many shifts of a driver are
+      open at one instant, not by how many fall into a day.
+
+    No pair of shifts inside a 24 h window is ever materialised.
     """
     day = _day(report_dt)
     lo, hi = day_bounds(day)
-    i = (fact_waybills.filter((F.col("work_start_dt") >= lo) & (F.col("work_start_dt") < hi))
-         .select(F.col("driver_pers_num").alias("_drv"), F.col("work_start_dt").alias("period_start"),
-                 F.col("waybill_num").alias("_wb_i"))
-         .withColumn("_bucket", F.explode(F.array(F.lit(day), F.lit(day + _dt.timedelta(days=1))))))
-    j_hi = ts_lit(day + _dt.timedelta(days=2))
-    j = (fact_waybills.filter((F.col("work_start_dt") >= lo) & (F.col("work_start_dt") < j_hi))
-         .select("driver_pers_num", "work_start_dt", "work_end_dt", F.to_date("work_start_dt").alias("_jday")))
-    limit = add_seconds(F.col("period_start"), OVERTIME_SPAN_S)
-    pairs = i.join(j, (F.col("_drv") == F.col("driver_pers_num")) & (F.col("_bucket") == F.col("_jday"))
-                   & (F.col("work_start_dt") >= F.col("period_start")) & (F.col("work_start_dt") < limit))
-    part = seconds_between(F.col("work_start_dt"), F.least(F.col("work_end_dt"), limit))
-    return (pairs.groupBy("_drv", "_wb_i", "period_start").agg(F.sum(part).cast("bigint").alias("total_work_time"))
+    span_us = OVERTIME_SPAN_S * 1_000_000
+    # every shift that can fall into the 24 h after a shift starting on the day
+    cand = (fact_waybills.filter((F.col("work_start_dt") >= lo) & (F.col("work_start_dt") < ts_lit(day + _dt.timedelta(days=2))))
+            .select("waybill_num", "driver_pers_num", "work_start_dt", "work_end_dt",
+                    seconds_between("work_start_dt", "work_end_dt").alias("work_s")))
+    a = range_sum(cand, "driver_pers_num", "work_start_dt", "work_s", 0, span_us - 1, "_a") \
+        .filter((F.col("work_start_dt") >= lo) & (F.col("work_start_dt") < hi))
+    a = a.withColumn("_limit", add_seconds(F.col("work_start_dt"), OVERTIME_SPAN_S))
+    open_at = explode_days(cand.select(F.col("driver_pers_num").alias("_drv"), F.col("work_start_dt").alias("_s"),
+                                       F.col("work_end_dt").alias("_e")), "_s", "_e", "_day")
+    straddle = (a.select("waybill_num", "driver_pers_num", "work_start_dt", "_limit",
+                         F.to_date("_limit").alias("_lday"))
+                .join(open_at, (F.col("driver_pers_num") == F.col("_drv")) & (F.col("_lday") == F.col("_day"))
+                      & (F.col("_s") >= F.col("work_start_dt")) & (F.col("_s") < F.col("_limit"))
+                      & (F.col("_e") > F.col("_limit")))
+                .groupBy("waybill_num", "driver_pers_num")
+                .agg(F.sum(seconds_between(F.col("_limit"), F.col("_e"))).alias("_b")))
+    total = (F.col("_a") - F.coalesce(F.col("_b"), F.lit(0))).cast("bigint")
+    return (a.join(straddle, ["waybill_num", "driver_pers_num"], "left")
+            .withColumn("total_work_time", total)
             .filter(F.col("total_work_time") > OVERTIME_LIMIT_S)
-            .select(F.col("_drv").alias("personnel_num"), "total_work_time", "period_start",
-                    F.lit(day).alias("report_dt")))
+            .select(F.col("driver_pers_num").alias("personnel_num"), "total_work_time",
+                    F.col("work_start_dt").alias("period_start"), F.lit(day).alias("report_dt")))
 
 
 # --- C20 client history -------------------------------------------------------------------------

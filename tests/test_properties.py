@@ -108,3 +108,46 @@ def test_split_lag_equals_lag(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     b = {r.id: r.p for r in df.withColumn("p", F.lag("ts").over(w)).collect()}
     assert a == b
+
+
+def test_range_sum_frames_equal_plain_window(spark):
+    from cabwh.functions import epoch_micros
+    from cabwh.operators.windows import range_sum
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.choice([0, 0, 1, 2]), base + dt.timedelta(seconds=rnd.randint(0, 5 * 86400)), rnd.randint(0, 99))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v long")
+    for lo, hi in ((-DAY_US, 0), (0, DAY_US - 1), (-3600_000_000, 7200_000_000)):
+        a = {r.id: r.s for r in range_sum(df, "k", "ts", "v", lo, hi, "s").collect()}
+        w = Window.partitionBy("k").orderBy(epoch_micros("ts")).rangeBetween(lo, hi)
+        b = {r.id: r.s for r in df.withColumn("s", F.sum("v").over(w)).collect()}
+        assert a == b, (lo, hi)
+
+
+def test_clipped_overtime_equals_brute_force(spark):
+    day = dt.date(2024, 1, 16)
+    t0 = dt.datetime(2024, 1, 16)
+    rnd = random.Random(13)
+    rows = []
+    for i in range(400):
+        drv = rnd.choice(["a", "a", "a", "b", "c"])
+        s = t0 + dt.timedelta(minutes=rnd.randint(-300, 2 * 1440))
+        e = s + dt.timedelta(minutes=rnd.choice([30, 300, 600, 1500, 2000]))   # some longer than 24 h
+        rows.append((f"w{i}", drv, "K", s, e, s))
+    rows.append(("wx", "a", "K", rows[0][3], rows[0][4], rows[0][3]))          # equal start
+    wb = spark.createDataFrame(rows, "waybill_num string, driver_pers_num string, car_plate_num string, "
+                                     "work_start_dt timestamp_ntz, work_end_dt timestamp_ntz, issue_dt timestamp_ntz")
+    got = sorted((r.personnel_num, r.period_start, r.total_work_time)
+                 for r in marts.drivers_overtime_clipped(wb, day).collect())
+    want = []
+    for _, d_i, _, s_i, _, _ in rows:
+        if not (t0 <= s_i < t0 + dt.timedelta(days=1)):
+            continue
+        lim = s_i + dt.timedelta(days=1)
+        tot = sum(int((min(e_j, lim) - s_j).total_seconds()) for _, d_j, _, s_j, e_j, _ in rows
+                  if d_j == d_i and s_i <= s_j < lim)
+        if tot > 8 * 3600:
+            want.append((d_i, s_i, tot))
+    assert got == sorted(want) and len(got) > 10
