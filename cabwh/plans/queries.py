@@ -169,6 +169,13 @@ def q_fact_waybills(spark, sf):
     return Warehouse(spark, sf).fact_waybills
 
 
+@query("fact_waybills_parity")
+def q_fact_waybills_parity(spark, sf):
+    """Rows with a NULL in *any* joined column dropped (not only in the output columns)."""
+    src = load_sources(spark, sf)
+    return facts.build_fact_waybills(src.waybills, src.drivers, parity_dropna=True)
+
+
 @query("fact_rides")
 def q_fact_rides(spark, sf):
     return Warehouse(spark, sf).fact_rides
@@ -280,6 +287,14 @@ def q_scd2_drivers(spark, sf):
     return Warehouse(spark, sf).dim_drivers
 
 
+@query("scd2_drivers_parity")
+def q_scd2_drivers_parity(spark, sf):
+    """Drivers' first load, then the day-12 delta in parity mode (close if the card differs, append all)."""
+    src = load_sources(spark, sf)
+    first = dims.apply_drivers(None, dims.drivers_delta(src.drivers))
+    return dims.apply_drivers(first, dims.drivers_delta(src.drivers_delta), mode="parity")
+
+
 @query("scd2_clients")
 def q_scd2_clients(spark, sf):
     """Clients loaded up to the cut, then the versions first seen after it (parity close-and-append)."""
