@@ -3,7 +3,8 @@
 Storage layout under one warehouse folder (on a cluster: a shared path):
 
 * ``fact_*``              append-only Parquet; a batch appends only unseen keys (insert-ignore)
-* ``dim_*/snapshot=N``    one complete dimension per batch; readers take the newest finished one
+* ``dim_*/open/snapshot=N``, ``dim_*/closed/batch=N``  open versions rewritten per batch, closed
+  versions append-only; readers take closed partitions of committed batches + the newest open snapshot
 * ``rep_*``               marts partitioned by ``report_dt`` (dynamic partition overwrite)
 * ``rep_clients_hist/snapshot=N``  the historical mart, upserted into a new snapshot
 * ``work_batchdate``      the batch ledger
@@ -34,6 +35,7 @@ from cabwh.constants import (
     STATUS_SUCCESS,
 )
 from cabwh.functions import ts_lit
+from cabwh.operators.scd2 import open_end
 from cabwh.operators.writes import insert_ignore, upsert
 from cabwh.plans import dims, facts, marts
 from cabwh.session import ensure_checkpoint_dir
@@ -192,8 +194,35 @@ class Pipeline:
 
     # -- dimensions (C12-C15) -----------------------------------------------------------------
     def _dim(self, table: str, delta: DataFrame, apply) -> None:
-        cur = read_or_none(self.spark, latest_snapshot(self.spark, self.t(table)))
-        write_snapshot(apply(cur, delta), self.t(table), self.batch)
+        """Close-and-append on the open versions only.
+
+        Layout: ``<dim>/open/snapshot=N`` holds the open versions after batch N (one per key,
+        rewritten each batch) and ``<dim>/closed/batch=N`` the versions batch N closed
+        (append-only; history is never rewritten). A closed partition counts only when the
+        open snapshot of the same batch has committed, so a failed batch leaves nothing
+        half-visible.
+        """
+        root = self.t(table)
+        cur = read_or_none(self.spark, latest_snapshot(self.spark, f"{root}/open"))
+        out = apply(cur, delta).checkpoint()        # written twice below: computed once
+        is_open = F.col("end_dt") == open_end()
+        (out.filter(~is_open).withColumn("batch", F.lit(self.batch))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(f"{root}/closed"))
+        write_snapshot(out.filter(is_open), f"{root}/open", self.batch)
+
+    def dim(self, table: str) -> DataFrame:
+        """Closed versions of committed batches plus the newest open snapshot."""
+        root = self.t(table)
+        snap = latest_snapshot(self.spark, f"{root}/open")
+        opened = self.spark.read.parquet(snap)
+        committed = [int(n.split("=", 1)[1]) for n in _list_dirs(self.spark, f"{root}/open")
+                     if n.startswith("snapshot=") and _exists(self.spark, f"{root}/open/{n}/_SUCCESS")]
+        closed = read_or_none(self.spark, f"{root}/closed")
+        if closed is None:
+            return opened
+        closed = closed.filter(F.col("batch").isin(committed)).drop("batch")
+        return closed.unionByName(opened)
 
     def load_dims(self, inp: Inputs, wm: _dt.datetime) -> None:
         w = ts_lit(wm)
@@ -202,7 +231,7 @@ class Pipeline:
         new_versions = dims.clients_delta(inp.rides, w).checkpoint()
         self._dim("dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
         # phones whose client-history rows this batch can change (a superset is fine)
-        touched = marts.affected_phones(self.table("dim_clients"), new_versions, self._batch_rides,
+        touched = marts.affected_phones(self.dim("dim_clients"), new_versions, self._batch_rides,
                                         self._batch_payments)
         touched.withColumn("batch", F.lit(self.batch)).write.mode("append").partitionBy("batch") \
             .parquet(self.t("touched_phones"))
@@ -223,6 +252,8 @@ class Pipeline:
     def table(self, name: str, since: _dt.date | None = None, on: _dt.date | None = None) -> DataFrame:
         """A warehouse table; for facts ``since`` / ``on`` prune date partitions before the
         partition column is dropped (the plans filter on the timestamps themselves too)."""
+        if name.startswith("dim_"):
+            return self.dim(name)
         snap = latest_snapshot(self.spark, self.t(name))
         df = self.spark.read.parquet(snap or self.t(name))
         if name in FACT_PARTITION:
