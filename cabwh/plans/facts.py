@@ -81,6 +81,14 @@ def ride_driver_lookup(finished: DataFrame, fact_waybills: DataFrame) -> DataFra
 class FactRides:
     rides: DataFrame        # with a driver
     quarantine: DataFrame   # no waybill matched: retried by the next load
+    looked: DataFrame       # every finished ride with its lookup result (both of the above)
+
+
+def split_lookup(looked: DataFrame) -> FactRides:
+    """Matched rides (fact rows) and unmatched ones (quarantine) of one lookup result."""
+    matched = looked.filter(F.col("driver_pers_num").isNotNull()).select(*FACT_RIDES_COLUMNS)
+    unmatched = looked.filter(F.col("driver_pers_num").isNull()).select("ride_id", "car_plate_num", "dt")
+    return FactRides(matched, unmatched, looked)
 
 
 def build_fact_rides(movement: DataFrame, rides: DataFrame, fact_waybills: DataFrame,
@@ -94,10 +102,7 @@ def build_fact_rides(movement: DataFrame, rides: DataFrame, fact_waybills: DataF
     finished = finished_rides(movement, rides)
     if where is not None:
         finished = finished.filter(where)
-    looked = ride_driver_lookup(finished, fact_waybills)
-    matched = looked.filter(F.col("driver_pers_num").isNotNull()).select(*FACT_RIDES_COLUMNS)
-    unmatched = looked.filter(F.col("driver_pers_num").isNull()).select("ride_id", "car_plate_num", "dt")
-    return FactRides(matched, unmatched)
+    return split_lookup(ride_driver_lookup(finished, fact_waybills))
 
 
 def build_fact_payments(payments: DataFrame) -> DataFrame:

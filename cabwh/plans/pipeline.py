@@ -179,8 +179,9 @@ class Pipeline:
         waybills = self.table("fact_waybills")
         if first_order is not None:
             waybills = waybills.filter(F.col("work_end_dt") >= F.lit(first_order))
-        fr = facts.build_fact_rides(mv, rd, waybills)
-        matched = fr.rides.checkpoint()
+        # the lookup is computed once; fact rows and quarantine are both read from it
+        fr = facts.split_lookup(facts.build_fact_rides(mv, rd, waybills).looked.checkpoint())
+        matched = fr.rides
         self._append_new(matched, "fact_rides", ["ride_id"])
         # a ride ends after it is ordered: stored rides of the batch sit in later partitions
         done = self.table("fact_rides", since=first_order.date() if first_order else None).select("ride_id")

@@ -15,7 +15,7 @@ import datetime as _dt
 import os
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cabwh.constants import EVENT_BEGIN, EVENT_CANCEL, EVENT_END, EVENT_READY, STATUS_FAILURE, STATUS_SUCCESS
@@ -281,6 +281,15 @@ class Sources:
     def payments(self) -> DataFrame:
         return payments(self.spark, self.sf_dir, self.n_cars, self.movement, self.rides)
 
+    def current(self, name: str, until) -> DataFrame:
+        """``drivers`` / ``car_pool`` as the source shows them at ``until``: the tables are updated in
+        place, so each key shows its newest row written until then."""
+        base, delta, key = {"drivers": (self.drivers, self.drivers_delta, "driver_license"),
+                            "car_pool": (self.car_pool, self.car_pool_delta, "plate_num")}[name]
+        w = Window.partitionBy(key).orderBy(F.col("update_dt").desc())
+        return (base.unionByName(delta).filter(F.col("update_dt") <= ts_lit(until))
+                .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r"))
+
     @cached_property
     def ledger(self) -> DataFrame:
         return ledger(self.spark, self.sf_dir)
