@@ -5,7 +5,6 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from cabwh.constants import OPEN_END
 from cabwh.functions import format_card, parse_dayfirst, speed_hundredths, speed_over_limit
 from cabwh.operators.scd2 import as_of, scd2_apply, versions_from_history
 from cabwh.plans import facts, marts
