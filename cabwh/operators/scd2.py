@@ -120,6 +120,25 @@ def versions_from_history(history: DataFrame, key: str, attr: str, ts: str, wate
     )
 
 
+def versions_on_change(history: DataFrame, key: str, attr: str, ts: str, tiebreak: str,
+                       key_out: str | None = None, start: str = "start_dt", end: str = "end_dt") -> DataFrame:
+    """Versions that start at every change of ``attr`` in time order (A -> B -> A gives three).
+
+    The previous value per key comes from a lag split by (key, day) (see ``split_lag``), so
+    one key with a huge history is not one task; the change rows (few per key) are then
+    chained with ``LEAD - 1 s`` like :func:`versions_from_history`.
+    """
+    from cabwh.operators.windows import split_lag
+
+    rows = history.select(key, attr, ts, tiebreak)
+    prev = split_lag(rows, key, ts, tiebreak, "_prev", value=attr)
+    starts = prev.filter(F.col("_prev").isNull() | ~F.col(attr).eqNullSafe(F.col("_prev")))
+    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(tiebreak))
+    nxt = F.coalesce(F.lead(ts).over(w), ts_lit(LEAD_DEFAULT))
+    return starts.select(F.col(key).alias(key_out or key), F.col(ts).alias(start), F.col(attr),
+                         add_seconds(nxt, -1).alias(end))
+
+
 def as_of(dim: DataFrame, when, start: str = "start_dt", end: str = "end_dt") -> DataFrame:
     """Versions valid at ``when`` (a date compares as its midnight), both bounds inclusive."""
     point = when if isinstance(when, Column) else ts_lit(when)

@@ -122,19 +122,22 @@ def sliding_sum_prefix(df: DataFrame, key: str, ts: str, value: Column | str, sp
         "_row.*", (F.col("_p_incl") - F.col("_p_excl")).cast("bigint").alias(out))
 
 
-def split_lag(df: DataFrame, key: str, ts: str, tiebreak: str, out: str) -> DataFrame:
-    """``LAG(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` computed per (key, day).
+def split_lag(df: DataFrame, key: str, ts: str, tiebreak: str, out: str, value: str | None = None) -> DataFrame:
+    """``LAG(value) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` computed per (key, day).
 
-    Inside a day the window gives the previous row; the first row of a day takes the
-    latest ``ts`` of the key's nearest earlier day that has rows, from a per-(key, day)
-    summary (one row per active day of a key).
+    ``value`` defaults to ``ts``. Inside a day the window gives the previous row; the first
+    row of a day takes the last row's value of the key's nearest earlier day that has rows,
+    from a per-(key, day) summary (one row per active day of a key).
     """
-    day = F.to_date(ts)
-    local = df.withColumn("_day", day).withColumn(
-        "_prev_in_day", F.lag(ts).over(Window.partitionBy(key, "_day").orderBy(ts, tiebreak)))
-    last = (local.groupBy(key, "_day").agg(F.max(ts).alias("_last"))
+    value = value or ts
+    local = df.withColumn("_day", F.to_date(ts)).withColumn(
+        "_prev_in_day", F.lag(value).over(Window.partitionBy(key, "_day").orderBy(ts, tiebreak)))
+    last = (local.groupBy(key, "_day")
+            .agg(F.max_by(F.col(value), F.struct(F.col(ts), F.col(tiebreak))).alias("_last"),
+                 F.count(F.lit(1)).alias("_n"))
             .withColumn("_prev_day_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_day")))
             .select(key, "_day", "_prev_day_last"))
+    first_in_day = F.row_number().over(Window.partitionBy(key, "_day").orderBy(ts, tiebreak)) == 1
     return (local.join(last, [key, "_day"], "inner")
-            .withColumn(out, F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last")))
+            .withColumn(out, F.when(first_in_day, F.col("_prev_day_last")).otherwise(F.col("_prev_in_day")))
             .drop("_day", "_prev_in_day", "_prev_day_last"))

@@ -54,11 +54,14 @@ def driver_day_totals(fact_rides: DataFrame, report_dt=None) -> DataFrame:
     )
 
 
-def drivers_payments(fact_rides: DataFrame, dim_drivers: DataFrame, report_dt) -> DataFrame:
-    """rep_drivers_payments for one day: payout per driver joined to the version valid at midnight."""
+def drivers_payments(fact_rides: DataFrame, dim_drivers: DataFrame, report_dt, version_at: str = "start") -> DataFrame:
+    """rep_drivers_payments for one day: payout per driver joined to the driver version valid at
+    the start of the day (as the original report; a driver registered during the day gets no
+    row) or, with ``version_at="end"``, at its last second."""
     day = _day(report_dt)
     fr = driver_day_totals(fact_rides, day)
-    dd = as_of(dim_drivers, day).select("personnel_num", "last_name", "first_name", "middle_name", "card_num")
+    point = ts_lit(day) if version_at == "start" else add_seconds(ts_lit(day + _dt.timedelta(days=1)), -1)
+    dd = as_of(dim_drivers, point).select("personnel_num", "last_name", "first_name", "middle_name", "card_num")
     return fr.join(dd, fr.driver_pers_num == dd.personnel_num, "inner").select(
         "personnel_num", "last_name", "first_name", "middle_name", "card_num", "amount",
         F.lit(day).alias("report_dt"))

@@ -272,6 +272,14 @@ def _scd2_cars(spark, sf, mode):
     return dims.apply_cars(first, dims.cars_delta(src.car_pool_delta), mode=mode)
 
 
+@query("client_card_changes")
+def q_client_card_changes(spark, sf):
+    """Client versions on every card change in time order (option of SURVEY §7.5 #4)."""
+    from cabwh.operators.scd2 import versions_on_change
+    r = load_sources(spark, sf).rides
+    return versions_on_change(r, "client_phone", "card_num", "dt", "ride_id", key_out="phone_num")
+
+
 @query("scd2_cars")
 def q_scd2_cars(spark, sf):
     return _scd2_cars(spark, sf, "parity")
@@ -392,6 +400,14 @@ def q_drivers_payments(spark, sf):
     return marts.drivers_payments(day_rides, wh.dim_drivers, REPORT_DAY)
 
 
+@query("drivers_payments_eod")
+def q_drivers_payments_eod(spark, sf):
+    """Payouts joined to the driver version valid at the end of the day (option of SURVEY §7.5 #10)."""
+    wh = Warehouse(spark, sf)
+    day_rides = wh.fact_rides_ended(REPORT_DAY, REPORT_DAY + _dt.timedelta(days=1))
+    return marts.drivers_payments(day_rides, wh.dim_drivers, REPORT_DAY, version_at="end")
+
+
 @query("drivers_violations_day")
 def q_drivers_violations_day(spark, sf):
     """The day's report with the prior report rows of all earlier days (the mart's own history)."""

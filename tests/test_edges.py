@@ -147,3 +147,34 @@ def test_scalars(spark):
     assert got[1].ts is None and got[1].f is None
     assert got[2].ts is None
     assert got[3].ts == T(2024, 1, 5, 1, 2)
+
+
+def test_versions_on_every_change(spark):
+    from cabwh.operators.scd2 import versions_on_change
+
+    hist = spark.createDataFrame([
+        ("+7", "A", T(2024, 1, 1), 1), ("+7", None, T(2024, 1, 2), 2), ("+7", "B", T(2024, 1, 5), 3),
+        ("+7", "B", T(2024, 1, 6), 4), ("+7", "A", T(2024, 1, 9), 5), ("+8", "C", T(2024, 1, 9), 6),
+    ], "client_phone string, card_num string, dt timestamp_ntz, ride_id long")
+    v = versions_on_change(hist, "client_phone", "card_num", "dt", "ride_id", key_out="phone_num").collect()
+    got = sorted((r.phone_num, r.start_dt, r.card_num, r.end_dt) for r in v)
+    assert [(p, s, c) for p, s, c, _ in got] == [
+        ("+7", T(2024, 1, 1), "A"), ("+7", T(2024, 1, 2), None), ("+7", T(2024, 1, 5), "B"), ("+7", T(2024, 1, 9), "A"),
+        ("+8", T(2024, 1, 9), "C")]
+    assert got[2][3] == T(2024, 1, 8, 23, 59, 59) and got[3][3] == OPEN
+
+
+def test_payout_version_at_end_of_day(spark):
+    fr = spark.createDataFrame(
+        [(1, "A", "B", Decimal("10.00"), Decimal("100.00"), "+7", "p1", "K", T(2024, 1, 16, 9), T(2024, 1, 16, 10),
+          T(2024, 1, 16, 11))],
+        "ride_id long, point_from_txt string, point_to_txt string, distance_val decimal(10,2), price_amt decimal(10,2), "
+        "client_phone_num string, driver_pers_num string, car_plate_num string, ride_arrival_dt timestamp_ntz, "
+        "ride_start_dt timestamp_ntz, ride_end_dt timestamp_ntz")
+    dd = spark.createDataFrame([("p1", T(2024, 1, 16, 8), "L", "F", "M", "card", OPEN)],
+                               "personnel_num string, start_dt timestamp_ntz, last_name string, first_name string, "
+                               "middle_name string, card_num string, end_dt timestamp_ntz")
+    day = dt.date(2024, 1, 16)
+    assert marts.drivers_payments(fr, dd, day).count() == 0                    # registered during the day
+    row = marts.drivers_payments(fr, dd, day, version_at="end").collect()
+    assert [r.amount for r in row] == [Decimal("80.00") - Decimal("83.08")]    # 0.8 * 100 - 8.3082 * 10
