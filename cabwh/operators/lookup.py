@@ -21,6 +21,9 @@ def explode_days(intervals: DataFrame, start: str, end: str, out: str = "_day")
     return valid.withColumn(out, F.explode(F.sequence(F.to_date(start), F.to_date(end))))
 
 
+ROWS_PER_TASK = 2_000_000
+
+
 def point_in_time_lookup(
     facts: DataFrame,
     intervals: DataFrame,
@@ -33,25 +36,47 @@ def point_in_time_lookup(
     order: Sequence[str],
     take: Sequence[str],
     exclusive: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """For each fact row, the **first** interval (by ``order``) of the same key that contains ``fact_ts``.
 
     Returns every fact row (left join) with the ``take`` columns of the chosen interval,
     NULL when none matches, plus ``_matches`` = number of containing intervals.
     Bounds are inclusive (``exclusive=True``: strict on both ends).
+
+    Hot keys: a (key, day) with more than ``rows_per_task`` facts is salted. Its facts are
+    spread over s = ceil(n / rows_per_task) salts by a hash of the fact id, and its few
+    intervals are copied to every salt, so the join stays exact and no task gets more than
+    about ``rows_per_task`` facts of one key. The table of hot keys has at most
+    N / ``rows_per_task`` rows (each holds more than that many facts): a proven bound, so
+    it is broadcast. Without hot keys it is empty and the plan is the plain bucketed join.
     """
-    iv = explode_days(intervals.select(iv_key, iv_start, iv_end, *[c for c in {*order, *take}
-                                                                       if c not in (iv_key, iv_start, iv_end)]),
-                      iv_start, iv_end, "_iv_day")
+    iv_cols = [c for c in {*order, *take} if c not in (iv_key, iv_start, iv_end)]
+    iv = explode_days(intervals.select(iv_key, iv_start, iv_end, *iv_cols), iv_start, iv_end, "_iv_day")
     iv = iv.withColumnRenamed(iv_key, "_iv_key")
     f = facts.withColumn("_f_day", F.to_date(fact_ts))
+
+    hot = (f.groupBy(F.col(fact_key).alias("_h_key"), F.col("_f_day").alias("_h_day"))
+           .agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > rows_per_task)
+           .select("_h_key", "_h_day", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_s")))
+    hot = F.broadcast(hot)
+    f = (f.join(hot, (F.col(fact_key) == F.col("_h_key")) & (F.col("_f_day") == F.col("_h_day")), "left")
+         .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64(F.col(fact_id)), F.col("_s").cast("long")).cast("int")))
+         .drop("_h_key", "_h_day", "_s"))
+    iv = (iv.join(hot, (F.col("_iv_key") == F.col("_h_key")) & (F.col("_iv_day") == F.col("_h_day")), "left")
+          .withColumn("_iv_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)))
+          .drop("_h_key", "_h_day", "_s"))
+
     ts = F.col(fact_ts)
     inside = (ts > F.col(iv_start)) & (ts < F.col(iv_end)) if exclusive else ts.between(F.col(iv_start), F.col(iv_end))
-    cond = (F.col(fact_key) == F.col("_iv_key")) & (F.col("_f_day") == F.col("_iv_day")) & inside
+    cond = ((F.col(fact_key) == F.col("_iv_key")) & (F.col("_f_day") == F.col("_iv_day"))
+            & (F.col("_salt") == F.col("_iv_salt")) & inside)
     joined = f.join(iv, cond, "left")
-    # The fact's (key, day) decides its join partition; ranking within (key, day, id) reuses
-    # that hash partitioning instead of shuffling again by id.
-    w = Window.partitionBy(fact_key, "_f_day", fact_id)
+    # The fact's (key, day, salt) decides its join partition; ranking within (key, day, salt,
+    # id) reuses that hash partitioning instead of shuffling again by id.
+    w = Window.partitionBy(fact_key, "_f_day", "_salt", fact_id)
     ranked = (
         joined.withColumn("_rn", F.row_number().over(w.orderBy(*[F.col(c).asc_nulls_last() for c in order])))
         .withColumn("_matches", F.count("_iv_key").over(w))

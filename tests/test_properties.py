@@ -151,3 +151,26 @@ def test_clipped_overtime_equals_brute_force(spark):
         if tot > 8 * 3600:
             want.append((d_i, s_i, tot))
     assert got == sorted(want) and len(got) > 10
+
+
+def test_salted_lookup_equals_plain(spark):
+    from cabwh.operators.lookup import point_in_time_lookup
+
+    rnd = random.Random(17)
+    base = dt.datetime(2024, 1, 2)
+    facts_rows = [(i, rnd.choice(["K1"] * 6 + ["K2", "K3"]), base + dt.timedelta(minutes=rnd.randint(0, 2 * 1440)))
+                  for i in range(3000)]                                   # K1 is hot
+    iv_rows = []
+    for car in ("K1", "K2", "K3"):
+        for h in range(0, 48, 5):
+            s = base + dt.timedelta(hours=h)
+            iv_rows.append((f"W{car}{h}", f"D{car}{h % 3}", car, s, s + dt.timedelta(hours=rnd.choice([3, 6, 9]))))
+    fa = spark.createDataFrame(facts_rows, "ride_id long, car_plate_num string, dt timestamp_ntz")
+    iv = spark.createDataFrame(iv_rows, "waybill_num string, driver_pers_num string, car_plate_num string, "
+                                        "work_start_dt timestamp_ntz, work_end_dt timestamp_ntz")
+    args = dict(fact_id="ride_id", fact_key="car_plate_num", fact_ts="dt", iv_key="car_plate_num",
+                iv_start="work_start_dt", iv_end="work_end_dt", order=["work_start_dt", "waybill_num"],
+                take=["waybill_num", "driver_pers_num"])
+    plain = sorted(map(tuple, point_in_time_lookup(fa, iv, **args).collect()), key=str)
+    salted = sorted(map(tuple, point_in_time_lookup(fa, iv, rows_per_task=100, **args).collect()), key=str)
+    assert plain == salted and len(plain) == 3000
