@@ -95,11 +95,18 @@ def interval_join(
     ver_start: str,
     ver_end: str,
     how: str = "inner",
+    half_open: bool = False,
 ) -> DataFrame:
     """Facts joined to the versions of the same key whose [start, end] contains ``fact_ts``.
 
     Versions per key are few (one per card change), so the key alone is a selective
     equi-key: a hot key streams its facts past a handful of buffered versions.
+    ``half_open=True`` matches [start, end + 1 s) instead: a version then ends where the
+    next begins, and a sub-second time inside the 1 s gap still finds its version.
     """
-    cond = (F.col(fact_key) == F.col(ver_key)) & F.col(fact_ts).between(F.col(ver_start), F.col(ver_end))
-    return facts.join(versions, cond, how)
+    ts = F.col(fact_ts)
+    if half_open:
+        inside = (ts >= F.col(ver_start)) & (ts < F.col(ver_end) + F.expr("INTERVAL 1 SECOND"))
+    else:
+        inside = ts.between(F.col(ver_start), F.col(ver_end))
+    return facts.join(versions, (F.col(fact_key) == F.col(ver_key)) & inside, how)

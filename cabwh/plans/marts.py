@@ -216,12 +216,12 @@ def paid_by_card(fact_payments: DataFrame) -> DataFrame:
             .select(format_card("card_num").alias("card_num"), "paid_amt"))
 
 
-def rides_by_client_card(fact_rides: DataFrame, dim_clients: DataFrame) -> DataFrame:
+def rides_by_client_card(fact_rides: DataFrame, dim_clients: DataFrame, half_open: bool = False) -> DataFrame:
     """A5 over J8: rides of a phone counted for the card version valid at arrival time."""
     dc = dim_clients.select(F.col("phone_num").alias("_phone"), F.col("start_dt").alias("_start"),
                             F.col("end_dt").alias("_end"), F.col("card_num"))
     j = interval_join(fact_rides.select("ride_id", "client_phone_num", "ride_arrival_dt", "ride_start_dt", "price_amt"),
-                      dc, "client_phone_num", "ride_arrival_dt", "_phone", "_start", "_end")
+                      dc, "client_phone_num", "ride_arrival_dt", "_phone", "_start", "_end", half_open=half_open)
     cancelled = F.col("ride_start_dt").isNull()
     return j.groupBy("client_phone_num", "card_num").agg(
         F.count("ride_id").alias("total_rides_cnt"),
@@ -260,7 +260,7 @@ def affected_phones(dim_clients: DataFrame, new_versions: DataFrame, new_rides:
 
 
 def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: DataFrame,
-                 affected: DataFrame | None = None) -> DataFrame:
+                 affected: DataFrame | None = None, half_open: bool = False) -> DataFrame:
     """rep_clients_hist: per client version rides, cancellations, running paid and running debt.
 
     With ``affected`` (phones, see :func:`affected_phones`) only those phones' rows are
@@ -270,7 +270,7 @@ def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: D
     if affected is not None:
         dim_clients, fact_payments, fact_rides = restrict_to_phones(affected, dim_clients, fact_payments, fact_rides)
     fp = paid_by_card(fact_payments).withColumnRenamed("card_num", "_fp_card")
-    frg = rides_by_client_card(fact_rides, dim_clients).withColumnRenamed("card_num", "_frg_card")
+    frg = rides_by_client_card(fact_rides, dim_clients, half_open).withColumnRenamed("card_num", "_frg_card")
     base = (dim_clients.join(fp, dim_clients.card_num == fp._fp_card, "left")
             .join(frg, (F.col("phone_num") == F.col("client_phone_num")) & (F.col("card_num") == F.col("_frg_card")),
                   "left"))

@@ -216,6 +216,13 @@ def q_upsert_update(spark, sf):
     return upsert(old, new, ["client_id"], CLIENTS_HIST_UPDATE_COLS)
 
 
+@query("clients_hist_half_open")
+def q_clients_hist_half_open(spark, sf):
+    """Client history with half-open version intervals (option of SURVEY §7.5 #6)."""
+    wh = Warehouse(spark, sf)
+    return marts.clients_hist(wh.dim_clients, wh.fact_payments, wh.fact_rides, half_open=True)
+
+
 @query("clients_hist_incremental")
 def q_clients_hist_incremental(spark, sf):
     """History as of the cut, then only the phones the second load touches recomputed and upserted."""

@@ -178,3 +178,16 @@ def test_payout_version_at_end_of_day(spark):
     assert marts.drivers_payments(fr, dd, day).count() == 0                    # registered during the day
     row = marts.drivers_payments(fr, dd, day, version_at="end").collect()
     assert [r.amount for r in row] == [Decimal("80.00") - Decimal("83.08")]    # 0.8 * 100 - 8.3082 * 10
+
+
+def test_half_open_versions_catch_the_gap(spark):
+    from cabwh.operators.lookup import interval_join
+
+    ver = spark.createDataFrame([("+7", T(2024, 1, 1), T(2024, 1, 4, 23, 59, 59), "A"), ("+7", T(2024, 1, 5), OPEN, "B")],
+                                "phone string, s timestamp_ntz, e timestamp_ntz, card string")
+    facts_df = spark.createDataFrame([(1, "+7", T(2024, 1, 4, 23, 59, 59, 500000)), (2, "+7", T(2024, 1, 5))],
+                                     "id long, p string, ts timestamp_ntz")
+    closed = {r.id: r.card for r in interval_join(facts_df, ver, "p", "ts", "phone", "s", "e").collect()}
+    half = {r.id: r.card for r in interval_join(facts_df, ver, "p", "ts", "phone", "s", "e", half_open=True).collect()}
+    assert closed == {2: "B"}                        # 23:59:59.5 falls into the 1 s gap
+    assert half == {1: "A", 2: "B"}
