@@ -14,6 +14,21 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") == 1).drop("_rk")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], first_by: Sequence[str] | None = None,
+                last: bool = False) -> DataFrame:
+    """One row per key: the smallest (or, ``last=True``, the largest) by ``first_by`` then by
+    the remaining columns, as an aggregation: ``min``/``max`` of a struct is combined on the
+    map side, so a key repeated a million times ships one row per map partition instead of
+    being sorted in one task as a window would."""
+    keys = list(keys)
+    lead = [c for c in (first_by or []) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in lead]
+    packed = F.struct(*[F.col(c) for c in lead + rest])
+    agg = F.max(packed) if last else F.min(packed)
+    return df.groupBy(*keys).agg(agg.alias("_row")).select(*keys, *[F.col(f"_row.{c}") for c in lead + rest]) \
+        .select(*df.columns)
+
+
 def insert_ignore(target: DataFrame, delta: DataFrame, keys: Sequence[str],
                   order: Sequence[Column | str] | None = None,
                   target_filter: Column | None = None) -> DataFrame:
@@ -25,8 +40,8 @@ def insert_ignore(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     key can live (e.g. the look-back window), so the probe does not grow with history.
     """
     # a key repeated inside the delta keeps one row chosen by an explicit order, never by
-    # arrival order (dropDuplicates would keep an arbitrary one)
-    d = first_per_key(delta, keys, list(order) if order else [F.col(c) for c in delta.columns])
+    # arrival order (dropDuplicates would keep an arbitrary one); by default the smallest row
+    d = first_per_key(delta, keys, list(order)) if order else one_per_key(delta, keys)
     t = target if target_filter is None else target.filter(target_filter)
     return d.join(t.select(*keys), list(keys), "left_anti")
 
@@ -62,5 +77,6 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], update_cols
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], load_order: str) -> DataFrame:
-    """Of rows equal on ``keys`` keep the one loaded last (highest ``load_order``)."""
-    return first_per_key(df, keys, [F.col(load_order).desc()])
+    """Of rows equal on ``keys`` keep the one loaded last (highest ``load_order``; equal loads:
+    the largest row), combined map-side like :func:`one_per_key`."""
+    return one_per_key(df, keys, [load_order], last=True)

@@ -25,7 +25,7 @@ from cabwh.functions import (
 )
 from cabwh.operators.scd2 import as_of, versions_from_history
 from cabwh.operators.windows import sliding_sum, split_lag
-from cabwh.operators.writes import dedupe_keep_last, first_per_key, insert_ignore_result, upsert
+from cabwh.operators.writes import dedupe_keep_last, insert_ignore_result, one_per_key, upsert
 from cabwh.plans import dims, facts, marts
 from cabwh.plans.warehouse import Warehouse
 from cabwh.session import scratch_path
@@ -184,7 +184,7 @@ def q_fact_rides(spark, sf):
 @query("fact_payments")
 def q_fact_payments(spark, sf):
     fp = facts.build_fact_payments(load_sources(spark, sf).payments)
-    return first_per_key(fp, ["transaction_id"], ["transaction_dt", "card_num", "transaction_amt"])
+    return one_per_key(fp, ["transaction_id"])   # the smallest (time, card, amount) per id
 
 
 # --- write algebra ------------------------------------------------------------------------------
