@@ -105,14 +105,32 @@ FACT_PARTITION = {
 
 @dataclass
 class Inputs:
-    """What a batch reads from the sources (tables or file drops)."""
+    """What a batch reads: the source tables (whole; the pipeline applies the watermark, which
+    is pushed to the scan) and the file drops of this run (already selected by file time)."""
 
     rides: DataFrame
     movement: DataFrame
     drivers: DataFrame          # all drivers (the key lookup needs every licence)
     car_pool: DataFrame
-    waybills: DataFrame         # flat waybills (already read from XML)
-    payments: DataFrame         # raw payment rows (already read from TSV)
+    waybills: DataFrame         # flat waybills of the files that arrived since the last run
+    payments: DataFrame         # raw payment rows of the files that arrived since the last run
+
+    @classmethod
+    def read(cls, spark: SparkSession, source: str, waybill_dir: str, payment_dir: str,
+             watermark: _dt.datetime, properties: dict | None = None) -> "Inputs":
+        """Source tables from ``source`` (a ``jdbc:`` URL or a Parquet folder) and the drops:
+        waybill files changed after watermark - 12 h, payment files after the watermark."""
+        from cabwh.sources.files import read_payments, read_waybills
+        from cabwh.sources.relational import read_source
+
+        def table(name):
+            return read_source(spark, source, name, properties=properties)
+
+        return cls(
+            rides=table("rides"), movement=table("movement"), drivers=table("drivers"), car_pool=table("car_pool"),
+            waybills=read_waybills(spark, waybill_dir, since=watermark - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H)),
+            payments=read_payments(spark, payment_dir, since=watermark),
+        )
 
 
 class Pipeline:
@@ -160,8 +178,8 @@ class Pipeline:
 
     def load_facts(self, inp: Inputs, wm: _dt.datetime) -> None:
         since = extract.extract_since
-        wb = since(inp.waybills, "issuedt", wm, LOOKBACK_WAYBILLS_H)
-        fw_delta = facts.build_fact_waybills(wb, inp.drivers).checkpoint()
+        # waybills: the files of this run (selected by file time); repeats are ignored by key
+        fw_delta = facts.build_fact_waybills(inp.waybills, inp.drivers).checkpoint()
         self._append_new(fw_delta, "fact_waybills", ["waybill_num"])
 
         # rides: the look-back window plus the rides quarantined by earlier batches

@@ -35,7 +35,8 @@ def _inputs(src, prev, until):
         movement=src.movement.filter(F.col("dt") <= upto),
         drivers=_latest(src.drivers.unionByName(src.drivers_delta), "driver_license", "update_dt", until),
         car_pool=_latest(src.car_pool.unionByName(src.car_pool_delta), "plate_num", "update_dt", until),
-        waybills=src.waybills.filter(F.col("issuedt") <= upto),
+        waybills=src.waybills.filter((F.col("issuedt") <= upto)
+                                     & (F.col("issuedt") > ts_lit(prev or dt.datetime(1900, 1, 1)) - F.expr("INTERVAL 12 HOURS"))),
         payments=pay,
     )
 
@@ -110,3 +111,34 @@ def test_failure_is_recorded_and_raised(spark, loaded):
     statuses = {r.status for r in p.ledger().filter(F.col("loaded_until") == ts_lit("2024-03-01 00:00:00")).collect()}
     assert statuses == {"Failure"}
     assert p.watermark() == wm                                              # a failed run moves nothing
+
+
+def test_daily_run_from_tables_and_file_drops(spark, sf_small):
+    """Sources as a Parquet folder and the drops as XML / TSV files: one run equals the full build."""
+    import os
+    import time
+
+    from cabwh.sources.files import write_payments, write_waybills
+
+    src = load_sources(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="cabwh-src-")
+    for name in ("rides", "movement", "car_pool"):
+        getattr(src, name).write.parquet(f"{root}/{name}")
+    src.current("drivers", dt.datetime(2024, 2, 1)).write.parquet(f"{root}/drivers")   # as the source stands at run time
+    write_waybills(src.waybills, f"{root}/drop_waybills")
+    write_payments(src.payments, f"{root}/drop_payments")
+    stale = f"{root}/drop_payments/old.csv"                      # a file from before the watermark
+    with open(stale, "w") as f:
+        f.write("01.01.2020 00:00:00\t4000000000000009\t1.00\n")
+    old = time.mktime(dt.datetime(2020, 1, 1).timetuple())
+    os.utime(stale, (old, old))
+    p = Pipeline(spark, tempfile.mkdtemp(prefix="cabwh-wh2-"))
+    wm = dt.datetime(2021, 1, 1)
+    p.record(wm, "Success")                                       # the last successful run
+    p.run_etl(Inputs.read(spark, root, f"{root}/drop_waybills", f"{root}/drop_payments", p.watermark()),
+              started_at=dt.datetime(2024, 2, 1))
+    full = Warehouse(spark, sf_small)
+    assert _rows(p.table("fact_rides")) == _rows(full.fact_rides)
+    assert _rows(p.table("fact_waybills")) == _rows(full.fact_waybills)
+    assert _rows(p.table("fact_payments")) == _rows(full.fact_payments)   # the stale file is not read
+
