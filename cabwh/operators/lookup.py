@@ -37,6 +37,7 @@ def point_in_time_lookup(
     take: Sequence[str],
     exclusive: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """For each fact row, the **first** interval (by ``order``) of the same key that contains ``fact_ts``.
 
@@ -50,14 +51,17 @@ def point_in_time_lookup(
     about ``rows_per_task`` facts of one key. The table of hot keys has at most
     N / ``rows_per_task`` rows (each holds more than that many facts): a proven bound, so
     it is broadcast. Without hot keys it is empty and the plan is the plain bucketed join.
+    Any salt count keeps the join exact, so the counts may be an estimate: ``key_counts``
+    (columns key, day, n) lets a caller pass them from a cheaper relation than ``facts``.
     """
     iv_cols = [c for c in {*order, *take} if c not in (iv_key, iv_start, iv_end)]
     iv = explode_days(intervals.select(iv_key, iv_start, iv_end, *iv_cols), iv_start, iv_end, "_iv_day")
     iv = iv.withColumnRenamed(iv_key, "_iv_key")
     f = facts.withColumn("_f_day", F.to_date(fact_ts))
 
-    hot = (f.groupBy(F.col(fact_key).alias("_h_key"), F.col("_f_day").alias("_h_day"))
-           .agg(F.count(F.lit(1)).alias("_n"))
+    if key_counts is None:
+        key_counts = f.groupBy(fact_key, "_f_day").agg(F.count(F.lit(1)).alias("_n"))
+    hot = (key_counts.toDF("_h_key", "_h_day", "_n")
            .filter(F.col("_n") > rows_per_task)
            .select("_h_key", "_h_day", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_s")))
     hot = F.broadcast(hot)

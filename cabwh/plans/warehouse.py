@@ -47,7 +47,7 @@ class Warehouse:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return facts.ride_driver_lookup(self.finished, self.fact_waybills)
+        return facts.ride_driver_lookup(self.finished, self.fact_waybills, facts.rides_per_car_day(self.movement))
 
     @cached_property
     def fact_rides_all(self) -> facts.FactRides:
