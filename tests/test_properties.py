@@ -174,3 +174,14 @@ def test_salted_lookup_equals_plain(spark):
     plain = sorted(map(tuple, point_in_time_lookup(fa, iv, **args).collect()), key=str)
     salted = sorted(map(tuple, point_in_time_lookup(fa, iv, rows_per_task=100, **args).collect()), key=str)
     assert plain == salted and len(plain) == 3000
+
+
+def test_pivot_equals_spark_pivot(spark, sf_small):
+    from cabwh.operators.pivot import pivot_events, pivot_events_grouped
+    from cabwh.sources.fixtures import load_sources
+
+    mv = load_sources(spark, sf_small).movement
+    mapping = {"READY": "arrival", "BEGIN": "start", "END": "end", "CANCEL": "cancel", "LOST": "lost"}  # LOST: absent
+    a = sorted(map(tuple, pivot_events(mv, "ride", "event", "dt", mapping).collect()), key=str)
+    b = sorted(map(tuple, pivot_events_grouped(mv, "ride", "event", "dt", mapping).collect()), key=str)
+    assert a == b and len(a) == 1500 and all(r[-1] is None for r in a)
