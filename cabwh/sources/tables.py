@@ -19,10 +19,15 @@ def _stamp(spark: SparkSession, path: str) -> tuple:
     return (spark.sparkContext.applicationId, path, mtime)
 
 
-def scan_partitions(df: DataFrame, key: tuple | None = None) -> int:
+def scan_partitions(df: DataFrame, key: tuple | None = None) -> int | None:
+    """Partitions the scan yields (planning only, no job); None when the session does not
+    expose its physical plan (then nothing is spread)."""
     if key is not None and key in _SCAN_PARTS:
         return _SCAN_PARTS[key]
-    n = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    try:
+        n = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a session without a JVM-side plan handle
+        return None
     if key is not None:
         _SCAN_PARTS[key] = n
     return n
@@ -50,8 +55,11 @@ def spread(df: DataFrame, key: tuple | None = None, path: str | None = None) ->
     size = _size(path) if path else None
     if size is not None and size < SPREAD_MIN_BYTES:
         return df
+    parts = scan_partitions(df, key)
+    if parts is None:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if scan_partitions(df, key) < cores:
+    if parts < cores:
         return df.repartition(cores)
     return df
 
