@@ -86,3 +86,15 @@ def test_cars(spark, sf_small):
 def test_events_sliding(spark, sf_small):
     e = REGISTRY["events_sliding_24h"](spark, sf_small)
     assert tuple(e.agg(F.sum("sum_24h"), F.max("sum_24h")).first()) == (16523541, 65946)
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.1"), reason="sf0.1 not present")
+def test_anchors_sf01(spark):
+    wh = Warehouse(spark, "/root/testdata/sf0.1")
+    assert wh.fact_rides.count() == 130070
+    assert marts.violations(wh.fact_rides).count() == 44315
+    dc = wh.dim_clients
+    assert (dc.count(), dc.select("card_num").distinct().count()) == (19792, 14925)
+    h = marts.clients_hist(wh.dim_clients, wh.fact_payments, wh.fact_rides)
+    row = h.agg(F.sum("rides_cnt"), F.sum("cancelled_cnt"), F.sum("spent_amt"), F.sum("debt_amt")).first()
+    assert tuple(row) == (117343, 12727, Decimal("462192797.00"), Decimal("-136593833.00"))
