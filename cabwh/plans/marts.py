@@ -118,11 +118,13 @@ def drivers_violations(fact_rides: DataFrame, prior: DataFrame | None, report_dt
 def drivers_violations_full(fact_rides: DataFrame) -> DataFrame:
     """All days at once: count of earlier violations per driver in (end date, ride id) order.
 
-    Numbered per (driver, day) and offset by the driver's earlier days, so a driver with a
-    huge history is split by day instead of sorted in one task.
+    Numbered per (driver, day, ride-id range) and offset by the driver's earlier chunks, so a
+    driver with a huge history (or a huge day) is split instead of sorted in one task; the
+    chunk order (day, range) is the (day, ride) order.
     """
-    v = violations(fact_rides)
-    return running_index(v, "personnel_num", "report_dt", "ride", "violations_cnt").select(
+    v = violations(fact_rides).withColumn(
+        "_chunk", F.struct(F.col("report_dt"), F.floor(F.col("ride") / RIDE_CHUNK).alias("r")))
+    return running_index(v, "personnel_num", "_chunk", "ride", "violations_cnt").select(
         "personnel_num", "ride", "speed", "violations_cnt", "report_dt")
 
 
