@@ -1,15 +1,18 @@
 """Near-duplicate classes by MinHash: one-permutation hashing, banded buckets and star-shaped candidate edges.
 
 1. One pass over the texts hashes each document's set of distinct 5-word shingles once. The range of hashes is cut
-   into ``BINS`` bins whose smallest hashes are the signature; an empty bin borrows from the first filled one in a
-   probing order of its own (optimal densification). ``ROWS`` bins make a band, a band's hash a bucket.
+   into bins whose smallest hashes are the signature; an empty bin borrows from the first filled one in a probing
+   order of its own (optimal densification). ``ROWS`` bins make a band, a band's hash a bucket.
 2. Documents with the same set are one node from here on (pre-aggregated, so thousands of copies are one row).
 3. Each bucket sends edges from a centre to its members only. Every edge is confirmed on the full sets, and
    confirmed ones are merged into components. A bucket whose members are all in one component is done. Otherwise
-   its centre has now met everybody and leaves, and the rest chooses new centres, 4 times as many each round. So
-   no two members that are still apart stay uncompared, while a group around one original costs one edge a member.
+   its centre has now met everybody and leaves. So does every member that cannot be linked with any other one left:
+   shingles that no other one has are missing in each intersection, which bounds the similarity from above. The
+   rest chooses new centres, twice as many each round. So no two members that are still apart and could be
+   linked stay uncompared, while a group around one original costs one edge a member.
 
-Two documents at similarity 0.8 share no bucket with a probability below 1.3e-7, at 0.85 below 7e-11.
+There are as many bands as it takes for two documents at the wanted similarity to share no bucket with a
+probability below ``MISS`` (28 at 0.85, 41 at 0.8).
 
 Defined cases: a null, empty or blank text has no shingles, is a component of its own and is linked with nothing;
 a shorter text's whole word sequence is its one shingle; rows that repeat an id and its text get the same
@@ -20,7 +23,9 @@ empty table gives no rows; very long texts are hashed whole; other columns of th
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,31 +47,39 @@ from cabwh.llm.common import (
 
 WIDTH = 5
 ROWS = 5
-BANDS = 40
-BINS = ROWS * BANDS
+MISS = 1e-7
 PERCENT = 80
-_rng = np.random.default_rng(11)
-#: Row i: the order in which empty bin i looks for a filled one.
-_PROBE = np.argsort(_rng.random((BINS, BINS)), axis=1)
-_BAND = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))
+
+
+@lru_cache(maxsize=4)
+def _tables(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row i of the first: the order in which empty bin i looks for a filled one; the second tells bands apart."""
+    rng = np.random.default_rng(11)
+    return (np.argsort(rng.random((ROWS * bands, ROWS * bands)), axis=1),
+            rng.integers(1, 2**63, bands, dtype=np.uint64))
+
+
+def signature(s: np.ndarray, bands: int) -> np.ndarray:
     """The densified one-permutation MinHash of a sorted, non-empty shingle set."""
-    bins = (((s >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+    size = ROWS * bands
+    bins = (((s >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
-    out, filled = np.zeros(BINS, dtype=np.uint64), np.zeros(BINS, dtype=bool)
+    out, filled = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=bool)
     out[bins[first]], filled[bins[first]] = s[first], True
-    if len(first) < BINS:
+    if len(first) < size:
         empty = np.flatnonzero(~filled)
-        probes = _PROBE[empty]
+        probes = _tables(bands)[0][empty]
         out[empty] = out[probes[np.arange(len(empty)), filled[probes].argmax(axis=1)]]
     return out
 
 
-def band_keys(s: np.ndarray) -> np.ndarray:
-    sig = signature(s).reshape(BANDS, ROWS)
-    return mix64((sig * PLACE[:ROWS]).sum(axis=1, dtype=np.uint64) + _BAND).view(np.int64)
+def band_keys(s: np.ndarray, bands: int) -> np.ndarray:
+    sig = signature(s, bands).reshape(bands, ROWS)
+    return mix64((sig * PLACE[:ROWS]).sum(axis=1, dtype=np.uint64) + _tables(bands)[1]).view(np.int64)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -78,7 +91,7 @@ def _digest(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, bands: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, digest, keys) per row: set size, identity of the set, bucket keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,7 +99,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_digest(s) for s in sets], pa.binary()),
-                 _lists([band_keys(s) if len(s) else np.zeros(0, dtype=np.int64) for s in sets])],
+                 _lists([band_keys(s, bands) if len(s) else np.zeros(0, dtype=np.int64) for s in sets])],
                 ["id", "n", "digest", "keys"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -159,7 +172,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                     text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable), kept."""
     # row: a number for each input row, fixed by writing it
-    prints = written(fingerprints(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "prints")
+    prints = written(fingerprints(docs, bands_for(percent), id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "prints")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     classes = written(first_per_key(prints.filter("n > 0").select(
         "digest", order.alias("first"), F.pmod(F.xxhash64("row"), F.lit(256)).cast("int").alias("salt")),
@@ -175,18 +188,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     live = members.join(candidates.select("row", "weight"), "row").select("key", "row", "n", "weight")
     tested, round_no = None, 0
     while True:
-        state = live.join(labels, "row")
-        mixed = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        state = written(state.join(mixed, "key", "left_semi"), "star-round")
+        state = _mixed(live.join(labels, "row"))
+        if round_no:
+            state = written(state, "star-candidates")
+            state = _mixed(_linkable(state, sets, percent))
+        else:
+            state = state.withColumn("common", F.col("n"))
+        state = written(state, "star-round")
         if state.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(4 ** min(round_no, 15)))
+        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(2 ** min(round_no, 30)))
         centres = state.groupBy("key", slot.alias("slot")).agg(F.max(F.struct(
-            "weight", (-F.col("row")).alias("minus"), "row", "n", "comp")).alias("c"))
+            "weight", (-F.col("row")).alias("minus"), "row", "n", "common", "comp")).alias("c"))
         centres = written(centres.select("key", F.col("c.row").alias("c_row"), F.col("c.n").alias("c_n"),
-                                         F.col("c.comp").alias("c_comp")), "centres")
+                                         F.col("c.common").alias("c_common"), F.col("c.comp").alias("c_comp")), "centres")
         pairs = (state.join(centres, "key").filter("comp <> c_comp")
-                 .filter(100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n"))
+                 .filter((100 + percent) * F.least("common", "c_common") >= percent * (F.col("n") + F.col("c_n")))
                  .select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -195,7 +212,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         if not links.isEmpty():
             labels = _relabel(labels, links)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        live = state.join(centres.select("key", F.col("c_row").alias("row")), ["key", "row"], "left_anti").drop("comp")
+        live = state.join(centres.select("key", F.col("c_row").alias("row")), ["key", "row"], "left_anti").drop("comp", "common")
         round_no += 1
 
     named = classes.select("digest", "salts", F.col("first_id.row").alias("row"), F.col("first_id.id").alias("first"))
@@ -209,6 +226,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _mixed(state: DataFrame) -> DataFrame:
+    """The rows of buckets whose members are in more than one component."""
+    mixed = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    return state.join(mixed.select("key"), "key", "left_semi")
+
+
+def _linkable(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members that can still be linked with another one of their bucket, with ``common``.
+
+    ``common``: shingles that some other member of ``state`` has too. An intersection is no larger, and with set
+    sizes n and m it must reach percent * (n + m) / (100 + percent); m is at least the bucket's least size, and
+    at least percent / 100 of n.
+    """
+    rows = sets.join(state.select("row").distinct(), "row", "left_semi")
+    alone = (rows.select("row", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("c")).filter("c = 1")
+             .groupBy("row").agg(F.count(F.lit(1)).alias("alone")))
+    least = state.groupBy("key").agg(F.min("n").alias("least"))
+    return (state.join(alone, "row", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
+            .join(least, "key")
+            .filter((100 + percent) * F.col("common")
+                    >= percent * (F.col("n") + F.greatest("least", F.col("n") * percent / 100)))
+            .drop("alone", "least"))
+
+
 def _sets_of(docs: DataFrame, candidates: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row, shingles) of the candidates, from a second reading of their texts."""
     ids = candidates.select(F.col("id").alias("__candidate")).distinct()
