@@ -157,7 +157,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     ``pieces_per_task`` and ``open_bins`` bound a task's memory; they do not limit the input.
     """
     spark, columns = pieces.sparkSession, pieces.columns
-    schema = pieces.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) \
+        + ", sequence_id bigint, offset bigint"
     slack = capacity // 100
 
     def task(round_no: int, last: bool):
