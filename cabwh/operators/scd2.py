@@ -66,7 +66,8 @@ def scd2_apply(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], track
                         .otherwise(F.col(end)))
             .select(*cols)
         )
-        return closed.unionByName(updated).unionByName(delta.withColumn(end, open_end()))
+        # a delta with several versions of a key (client cards) brings their ends; only the last one is open
+        return closed.unionByName(updated).unionByName(delta.withColumn(end, F.coalesce(F.col(end), open_end())))
 
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")

@@ -36,7 +36,7 @@ from cabwh.constants import (
 )
 from cabwh.functions import ts_lit
 from cabwh.operators.scd2 import open_end
-from cabwh.operators.writes import insert_ignore, upsert
+from cabwh.operators.writes import insert_ignore, one_per_key, upsert
 from cabwh.plans import dims, facts, marts
 from cabwh.session import ensure_checkpoint_dir
 from cabwh.sources import extract
@@ -158,21 +158,14 @@ class Pipeline:
     def _append_new(self, delta: DataFrame, table: str, keys: list[str]) -> None:
         """Insert-ignore into a date-partitioned fact table.
 
-        A key that repeats carries the same time as its stored row: a ride's END / CANCEL,
-        a waybill's start and a payment's time are immutable source events, and they are
-        what the partition date is the date of. So the anti-join probes only partitions
-        from the delta's earliest date on (plus the NULL-date partition): exact, and the
-        probe reads one key column of a few recent partitions instead of the whole history.
+        A key may come again with another date (a re-issued waybill, a ride cancelled before and ended after
+        midnight), so the anti-join reads the key column of the whole table; on the first load, too, a key that
+        the delta repeats is stored once.
         """
         path = self.t(table)
         part, ts = FACT_PARTITION[table]
         target = read_or_none(self.spark, path)
-        if target is None:
-            new = delta
-        else:
-            lo = delta.agg(F.min(ts)).first()[0]   # one-row aggregate of the (checkpointed) delta
-            probe = None if lo is None else (F.col(part) >= F.lit(lo.date())) | F.col(part).isNull()
-            new = insert_ignore(target, delta, keys, target_filter=probe)
+        new = one_per_key(delta, keys) if target is None else insert_ignore(target, delta, keys)
         (new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts)
          .write.mode("append").partitionBy(part).parquet(path))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwh.functions import ts_lit
+from cabwh.operators.writes import one_per_key
 from cabwh.plans import dims, facts
 from cabwh.sources.fixtures import Sources, load_sources
 
@@ -68,7 +69,7 @@ class Warehouse:
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        fp = facts.build_fact_payments(self.src.payments)
+        fp = one_per_key(facts.build_fact_payments(self.src.payments), ["transaction_id"])
         return self._upto(fp, "transaction_dt")
 
     @cached_property

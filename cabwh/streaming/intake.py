@@ -14,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cabwh.operators.writes import insert_ignore
+from cabwh.operators.writes import insert_ignore, one_per_key
 from cabwh.plans.facts import build_fact_payments, build_fact_waybills
+from cabwh.plans.pipeline import read_or_none
 from cabwh.sources.files import PAYMENT_TSV_SCHEMA, WAYBILL_XML_SCHEMA, flatten_waybills
 
 
@@ -23,11 +24,8 @@ def _appender(spark: SparkSession, table_path: str, keys: list[str],
               transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch)
-        try:
-            target = spark.read.parquet(table_path)
-        except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
-            target = None
-        new = rows if target is None else insert_ignore(target, rows, keys)
+        target = read_or_none(spark, table_path)
+        new = one_per_key(rows, keys) if target is None else insert_ignore(target, rows, keys)
         new.write.mode("append").parquet(table_path)
     return run
 
