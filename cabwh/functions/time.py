@@ -52,27 +52,31 @@ def day_bounds(day) -> tuple[Column, Column]:
     return ts_lit(d), ts_lit(d + _dt.timedelta(days=1))
 
 
-_DAYFIRST = r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})[ T](\d{1,2}):(\d{2})(?::(\d{2}))?\s*$"
-_ISO = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{2})(?::(\d{2}))?\s*$"
+_CLOCK = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?\s*$"
+_DAYFIRST = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})" + _CLOCK
+_ISO = r"^\s*(\d{4})[./-](\d{1,2})[./-](\d{1,2})" + _CLOCK
 
 
 def parse_dayfirst(text) -> Column:
-    """Day-first text ('dd.MM.yyyy HH:mm[:ss]'), falling back to ISO; junk and impossible dates -> NULL.
+    """Day-first text (``dd.MM.yyyy``, also with ``/`` or ``-``) or year-first text, with or without a time.
+
+    A missing time is midnight, missing seconds are 0, a fraction keeps six digits. A zone offset is accepted and
+    the wall-clock time as written is kept, like all times here. Junk and impossible dates are NULL.
 
     Built from ``try_make_timestamp_ntz`` so the wall-clock value never passes through the
     session time zone (``try_to_timestamp`` yields LTZ).
     """
     t = _c(text)
 
-    def part(pattern, idx):
-        return F.regexp_extract(t, pattern, idx).try_cast("int")
+    def part(pattern, idx, kind="int"):
+        return F.regexp_extract(t, pattern, idx).try_cast(kind)
 
     def build(pattern, y, m, d):
-        sec = F.coalesce(part(pattern, 6), F.lit(0))
+        clock = [F.coalesce(part(pattern, i), F.lit(0)) for i in (4, 5)]
+        sec = F.coalesce(part(pattern, 6, "decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
         return F.when(
             t.rlike(pattern),
-            F.try_make_timestamp_ntz(part(pattern, y), part(pattern, m), part(pattern, d),
-                                     part(pattern, 4), part(pattern, 5), sec),
+            F.try_make_timestamp_ntz(part(pattern, y), part(pattern, m), part(pattern, d), *clock, sec),
         )
 
     return F.coalesce(build(_DAYFIRST, 3, 2, 1), build(_ISO, 1, 2, 3))

@@ -2,26 +2,38 @@
 
 Both are an equi-join plus a closed range predicate. A plain equi-join on the entity key
 alone would pair every fact of a busy car with every waybill that car ever had (the
-join buffers all of the key's waybills); with a day bucket as a second equi-key each fact
-meets only the intervals that touch its own day. Intervals are exploded to the days they
-cover (a shift touches one or two days), so the bucketed join is exact.
+join buffers all of the key's waybills); with a time bucket as a second equi-key each fact
+meets only the intervals that touch its own hour. Intervals are exploded to the hours they
+cover within the facts' time span, so the bucketed join is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabwh.functions import epoch_seconds
 
-def explode_days(intervals: DataFrame, start: str, end: str, out: str = "_day") -> DataFrame:
-    """One row per calendar day an interval [start, end] touches; empty or NULL intervals vanish."""
-    valid = intervals.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
-    return valid.withColumn(out, F.explode(F.sequence(F.to_date(start), F.to_date(end))))
 
+def explode_buckets(intervals: DataFrame, start: str, end: str, out: str, width_s: int,
+                    lo: Column, hi: Column) -> DataFrame:
+    """One row per bucket of ``width_s`` seconds that an interval [start, end] touches within [lo, hi].
+
+    The clip bounds the rows of an interval that never ends. Empty and NULL intervals, and those outside [lo, hi],
+    vanish; with a NULL bound (no facts) all do.
+    """
+    first, last = F.greatest(F.col(start), lo), F.least(F.col(end), hi)
+    valid = intervals.filter((F.col(start) <= F.col(end)) & (F.col(start) <= hi) & (F.col(end) >= lo))
+    return valid.withColumn(out, F.explode(F.sequence(bucket(first, width_s), bucket(last, width_s))))
+
+
+def bucket(ts: Column, width_s: int) -> Column:
+    return F.floor(epoch_seconds(ts) / F.lit(width_s)).cast("bigint")
 
-ROWS_PER_TASK = 2_000_000
+
+HOUR_S = 3600
 
 
 def point_in_time_lookup(
@@ -36,8 +48,8 @@ def point_in_time_lookup(
     order: Sequence[str],
     take: Sequence[str],
     exclusive: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    key_counts: DataFrame | None = None,
+    width_s: int = HOUR_S,
+    times: DataFrame | None = None,
 ) -> DataFrame:
     """For each fact row, the **first** interval (by ``order``) of the same key that contains ``fact_ts``.
 
@@ -45,42 +57,25 @@ def point_in_time_lookup(
     NULL when none matches, plus ``_matches`` = number of containing intervals.
     Bounds are inclusive (``exclusive=True``: strict on both ends).
 
-    Hot keys: a (key, day) with more than ``rows_per_task`` facts is salted. Its facts are
-    spread over s = ceil(n / rows_per_task) salts by a hash of the fact id, and its few
-    intervals are copied to every salt, so the join stays exact and no task gets more than
-    about ``rows_per_task`` facts of one key. The table of hot keys has at most
-    N / ``rows_per_task`` rows (each holds more than that many facts): a proven bound, so
-    it is broadcast. Without hot keys it is empty and the plan is the plain bucketed join.
-    Any salt count keeps the join exact, so the counts may be an estimate: ``key_counts``
-    (columns key, day, n) lets a caller pass them from a cheaper relation than ``facts``.
+    Facts and intervals meet on (key, bucket of ``width_s`` seconds), so a key that holds a third of all facts is
+    spread over its hours. Facts with a NULL key or time match nothing and are spread by their id. Intervals are
+    cut to the span of the facts' times; ``times`` may name a cheaper relation whose column ``fact_ts`` covers it.
     """
     iv_cols = [c for c in {*order, *take} if c not in (iv_key, iv_start, iv_end)]
-    iv = explode_days(intervals.select(iv_key, iv_start, iv_end, *iv_cols), iv_start, iv_end, "_iv_day")
+    span = (facts if times is None else times).agg(F.struct(F.min(fact_ts).alias("lo"), F.max(fact_ts).alias("hi"))).scalar()
+    iv = explode_buckets(intervals.select(iv_key, iv_start, iv_end, *iv_cols), iv_start, iv_end, "_iv_bucket", width_s,
+                         span.getField("lo"), span.getField("hi"))
     iv = iv.withColumnRenamed(iv_key, "_iv_key")
-    f = facts.withColumn("_f_day", F.to_date(fact_ts))
-
-    if key_counts is None:
-        key_counts = f.groupBy(fact_key, "_f_day").agg(F.count(F.lit(1)).alias("_n"))
-    hot = (key_counts.toDF("_h_key", "_h_day", "_n")
-           .filter(F.col("_n") > rows_per_task)
-           .select("_h_key", "_h_day", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_s")))
-    hot = F.broadcast(hot)
-    f = (f.join(hot, (F.col(fact_key) == F.col("_h_key")) & (F.col("_f_day") == F.col("_h_day")), "left")
-         .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64(F.col(fact_id)), F.col("_s").cast("long")).cast("int")))
-         .drop("_h_key", "_h_day", "_s"))
-    iv = (iv.join(hot, (F.col("_iv_key") == F.col("_h_key")) & (F.col("_iv_day") == F.col("_h_day")), "left")
-          .withColumn("_iv_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)))
-          .drop("_h_key", "_h_day", "_s"))
-
     ts = F.col(fact_ts)
+    nowhere = F.col(fact_key).isNull() | ts.isNull()
+    f = facts.withColumn("_f_bucket", F.when(nowhere, F.xxhash64(fact_id)).otherwise(bucket(ts, width_s)))
+
     inside = (ts > F.col(iv_start)) & (ts < F.col(iv_end)) if exclusive else ts.between(F.col(iv_start), F.col(iv_end))
-    cond = ((F.col(fact_key) == F.col("_iv_key")) & (F.col("_f_day") == F.col("_iv_day"))
-            & (F.col("_salt") == F.col("_iv_salt")) & inside)
+    cond = (F.col(fact_key) == F.col("_iv_key")) & (F.col("_f_bucket") == F.col("_iv_bucket")) & inside
     joined = f.join(iv, cond, "left")
-    # The fact's (key, day, salt) decides its join partition; ranking within (key, day, salt,
-    # id) reuses that hash partitioning instead of shuffling again by id.
-    w = Window.partitionBy(fact_key, "_f_day", "_salt", fact_id)
+    # The fact's (key, bucket) decides its join partition; ranking within (key, bucket, id)
+    # reuses that hash partitioning instead of shuffling again by id.
+    w = Window.partitionBy(fact_key, "_f_bucket", fact_id)
     ranked = (
         joined.withColumn("_rn", F.row_number().over(w.orderBy(*[F.col(c).asc_nulls_last() for c in order])))
         .withColumn("_matches", F.count("_iv_key").over(w))
@@ -100,17 +95,23 @@ def interval_join(
     ver_end: str,
     how: str = "inner",
     half_open: bool = False,
+    splits: int = 16,
 ) -> DataFrame:
     """Facts joined to the versions of the same key whose [start, end] contains ``fact_ts``.
 
-    Versions per key are few (one per card change), so the key alone is a selective
-    equi-key: a hot key streams its facts past a handful of buffered versions.
+    Versions per key are few (one per card change); they are copied to ``splits`` salts and the facts of a key are
+    spread over the salts by a hash of the row, so one key with a third of all facts is not one task. An aggregate
+    by key that follows combines before its own shuffle.
     ``half_open=True`` matches [start, end + 1 s) instead: a version then ends where the
     next begins, and a sub-second time inside the 1 s gap still finds its version.
     """
+    cols = [*facts.columns, *versions.columns]
+    facts = facts.withColumn("_f_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(splits)).cast("int"))
+    versions = versions.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     ts = F.col(fact_ts)
     if half_open:
         inside = (ts >= F.col(ver_start)) & (ts < F.col(ver_end) + F.expr("INTERVAL 1 SECOND"))
     else:
         inside = ts.between(F.col(ver_start), F.col(ver_end))
-    return facts.join(versions, (F.col(fact_key) == F.col(ver_key)) & inside, how)
+    same = (F.col(fact_key) == F.col(ver_key)) & (F.col("_f_salt") == F.col("_v_salt"))
+    return facts.join(versions, same & inside, how).select(*cols)

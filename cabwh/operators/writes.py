@@ -30,20 +30,16 @@ def one_per_key(df: DataFrame, keys: Sequence[str], first_by: Sequence[str] | No
 
 
 def insert_ignore(target: DataFrame, delta: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column | str] | None = None,
-                  target_filter: Column | None = None) -> DataFrame:
+                  order: Sequence[Column | str] | None = None) -> DataFrame:
     """The rows of ``delta`` whose key is not yet in ``target`` (one per key).
 
     The result is what gets *appended*; existing rows are never touched. Only the key
-    columns of ``target`` are read (the anti-join prunes the rest at the scan), and
-    ``target_filter`` may restrict the probe to the part of the target where a repeated
-    key can live (e.g. the look-back window), so the probe does not grow with history.
+    columns of ``target`` are read (the anti-join prunes the rest at the scan).
     """
     # a key repeated inside the delta keeps one row chosen by an explicit order, never by
     # arrival order (dropDuplicates would keep an arbitrary one); by default the smallest row
     d = first_per_key(delta, keys, list(order)) if order else one_per_key(delta, keys)
-    t = target if target_filter is None else target.filter(target_filter)
-    return d.join(t.select(*keys), list(keys), "left_anti")
+    return d.join(target.select(*keys), list(keys), "left_anti")
 
 
 def insert_ignore_result(target: DataFrame, delta: DataFrame, keys: Sequence[str],
@@ -56,24 +52,22 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], update_cols
     """INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols = EXCLUDED.update_cols.
 
     New keys are inserted whole; for existing keys only ``update_cols`` take the delta's
-    value, all other columns keep the target's. Written as
-    (target rows whose key is not in the delta) + (delta left-joined to the target rows it
-    hits): when the delta is small its key set is broadcast (AQE, by measured size) and the
-    large target is filtered in place instead of being shuffled by a full outer join.
+    value, all other columns keep the target's. One full outer join by key: each input is read
+    and shuffled once, and keys are unique on both sides, so no key is hot. As in SQL, a NULL
+    key conflicts with nothing: such rows of both sides stay.
     """
     keys = list(keys)
-    dk = delta.select(*keys)
-    untouched = target.join(dk, keys, "left_anti")
-    hit = target.join(dk, keys, "left_semi").select(
-        *keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("_in_t"))
-    j = delta.join(hit, keys, "left")
-    out = []
-    for c in target.columns:
-        if c in keys or c in update_cols:
-            out.append(F.col(c))
-        else:
-            out.append(F.when(F.col("_in_t"), F.col(f"_t_{c}")).otherwise(F.col(c)).alias(c))
-    return untouched.unionByName(j.select(*out))
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{mark}{c}") for c in target.columns], F.lit(True).alias(f"{mark}in"))
+
+    j = side(target, "_t_").join(side(delta, "_d_"), [F.col(f"_t_{k}") == F.col(f"_d_{k}") for k in keys], "full")
+
+    def value(c: str) -> Column:
+        first, other, given = ("_d_", "_t_", "_d_in") if c in update_cols else ("_t_", "_d_", "_t_in")
+        return F.when(F.col(given), F.col(first + c)).otherwise(F.col(other + c)).alias(c)
+
+    return j.select(*[value(c) for c in target.columns])
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], load_order: str) -> DataFrame:

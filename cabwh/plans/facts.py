@@ -67,22 +67,16 @@ def build_fact_waybills(waybills: DataFrame, drivers: DataFrame, parity_dropna:
     return j.select(*[F.col(a).alias(b) for a, b in out_cols.items()])
 
 
-def rides_per_car_day(movement: DataFrame) -> DataFrame:
-    """Terminal events per (car, day): an estimate of rides per (car, order day) for salting the
-    lookup, from one partial aggregate over the events (the ride join is not run twice)."""
-    term = movement.filter(F.col("event").isin(EVENT_END, EVENT_CANCEL))
-    return term.groupBy(trim_plate("car_plate_num").alias("car_plate_num"), F.to_date("dt").alias("day")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+def ride_driver_lookup(finished: DataFrame, fact_waybills: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """Driver of each finished ride = first waybill of the car containing the order time.
 
-
-def ride_driver_lookup(finished: DataFrame, fact_waybills: DataFrame, key_counts: DataFrame | None = None) -> DataFrame:
-    """Driver of each finished ride = first waybill of the car containing the order time."""
+    The order times of the ``headers`` (a one-column scan) bound the span waybills are cut to."""
     return point_in_time_lookup(
         finished, fact_waybills,
         fact_id="ride_id", fact_key="car_plate_num", fact_ts="dt",
         iv_key="car_plate_num", iv_start="work_start_dt", iv_end="work_end_dt",
         order=["work_start_dt", "waybill_num"], take=["waybill_num", "driver_pers_num"],
-        key_counts=key_counts,
+        times=headers,
     )
 
 
@@ -111,7 +105,7 @@ def build_fact_rides(movement: DataFrame, rides: DataFrame, fact_waybills: DataF
     finished = finished_rides(movement, rides)
     if where is not None:
         finished = finished.filter(where)
-    return split_lookup(ride_driver_lookup(finished, fact_waybills, rides_per_car_day(movement)))
+    return split_lookup(ride_driver_lookup(finished, fact_waybills, rides))
 
 
 def build_fact_payments(payments: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from cabwh.functions import (
     speed_over_limit,
     ts_lit,
 )
-from cabwh.operators.lookup import explode_days, interval_join
+from cabwh.operators.lookup import bucket, explode_buckets, interval_join
 from cabwh.operators.scd2 import as_of
 from cabwh.operators.windows import range_sum, running_index, sliding_sum, split_lag
 
@@ -193,10 +193,12 @@ def drivers_overtime_clipped(fact_waybills: DataFrame, report_dt) -> DataFrame:
     a = range_sum(cand, "driver_pers_num", "work_start_dt", "work_s", 0, span_us - 1, "_a") \
         .filter((F.col("work_start_dt") >= lo) & (F.col("work_start_dt") < hi))
     a = a.withColumn("_limit", add_seconds(F.col("work_start_dt"), OVERTIME_SPAN_S))
-    open_at = explode_days(cand.select(F.col("driver_pers_num").alias("_drv"), F.col("work_start_dt").alias("_s"),
-                                       F.col("work_end_dt").alias("_e")), "_s", "_e", "_day")
+    day_s = 24 * 3600
+    open_at = explode_buckets(cand.select(F.col("driver_pers_num").alias("_drv"), F.col("work_start_dt").alias("_s"),
+                                       F.col("work_end_dt").alias("_e")), "_s", "_e", "_day", day_s,
+                              ts_lit(day + _dt.timedelta(days=1)), ts_lit(day + _dt.timedelta(days=2)))
     straddle = (a.select("waybill_num", "driver_pers_num", "work_start_dt", "_limit",
-                         F.to_date("_limit").alias("_lday"))
+                         bucket(F.col("_limit"), day_s).alias("_lday"))
                 .join(open_at, (F.col("driver_pers_num") == F.col("_drv")) & (F.col("_lday") == F.col("_day"))
                       & (F.col("_s") >= F.col("work_start_dt")) & (F.col("_s") < F.col("_limit"))
                       & (F.col("_e") > F.col("_limit")))

@@ -8,7 +8,9 @@ Storage layout under one warehouse folder (on a cluster: a shared path):
 * ``rep_*``               marts partitioned by ``report_dt`` (dynamic partition overwrite)
 * ``rep_clients_hist/snapshot=N``  the historical mart, upserted into a new snapshot
 * ``work_batchdate``      the batch ledger
-* ``quarantine_rides``    rides without a matching waybill, retried by the next batch
+* ``quarantine_rides``    finished rides without a matching waybill
+* ``open_rides``, ``open_events``  headers and events of rides that are no facts yet (not finished, no header, no
+  waybill): the next batch starts from them, so a ride that outlasts the look-back is not lost
 * ``touched_phones``      phones each batch touched; the next history report recomputes only those
 
 Nothing is ever overwritten while it is being read: dimensions and the client history are
@@ -117,9 +119,10 @@ class Inputs:
 
     @classmethod
     def read(cls, spark: SparkSession, source: str, waybill_dir: str, payment_dir: str,
-             watermark: _dt.datetime, properties: dict | None = None) -> "Inputs":
+             watermark: _dt.datetime, properties: dict | None = None, zone: str = "UTC") -> "Inputs":
         """Source tables from ``source`` (a ``jdbc:`` URL or a Parquet folder) and the drops:
-        waybill files changed after watermark - 12 h, payment files after the watermark."""
+        waybill files changed after watermark - 12 h, payment files after the watermark
+        (a wall-clock time of ``zone``)."""
         from cabwh.sources.files import read_payments, read_waybills
         from cabwh.sources.relational import read_source
 
@@ -128,8 +131,9 @@ class Inputs:
 
         return cls(
             rides=table("rides"), movement=table("movement"), drivers=table("drivers"), car_pool=table("car_pool"),
-            waybills=read_waybills(spark, waybill_dir, since=watermark - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H)),
-            payments=read_payments(spark, payment_dir, since=watermark),
+            waybills=read_waybills(spark, waybill_dir, since=watermark - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H),
+                                   zone=zone),
+            payments=read_payments(spark, payment_dir, since=watermark, zone=zone),
         )
 
 
@@ -169,21 +173,22 @@ class Pipeline:
         (new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts)
          .write.mode("append").partitionBy(part).parquet(path))
 
+    def _with_open(self, new: DataFrame, table: str, key: str) -> DataFrame:
+        """``new`` and the rows the last batch left open, one per key."""
+        left = read_or_none(self.spark, latest_snapshot(self.spark, self.t(table)))
+        return new if left is None else one_per_key(new.unionByName(left), [key])
+
     def load_facts(self, inp: Inputs, wm: _dt.datetime) -> None:
         since = extract.extract_since
         # waybills: the files of this run (selected by file time); repeats are ignored by key
         fw_delta = facts.build_fact_waybills(inp.waybills, inp.drivers).checkpoint()
         self._append_new(fw_delta, "fact_waybills", ["waybill_num"])
 
-        # rides: the look-back window plus the rides quarantined by earlier batches
-        q = read_or_none(self.spark, latest_snapshot(self.spark, self.t("quarantine_rides")))
+        # rides: the look-back window plus what earlier batches left open (stored rows: no source is read again)
         rd = since(inp.rides, "dt", wm, LOOKBACK_RIDES_H)
         mv = since(inp.movement, "dt", wm, LOOKBACK_RIDES_H)
-        if q is not None:
-            ids = q.select(F.col("ride_id").alias("_qid"))
-            rd = rd.unionByName(inp.rides.join(ids, inp.rides.ride_id == ids._qid, "left_semi")).dropDuplicates(["ride_id"])
-            mv = mv.unionByName(inp.movement.join(ids, inp.movement.ride == ids._qid, "left_semi")) \
-                .dropDuplicates(["movement_id"])
+        rd, mv = self._with_open(rd, "open_rides", "ride_id"), self._with_open(mv, "open_events", "movement_id")
+        mv = mv.checkpoint()
         rd = rd.checkpoint()
         first_order = rd.agg(F.min("dt")).first()[0]
         # only waybills still open at the earliest order time can contain a ride of the batch
@@ -194,10 +199,13 @@ class Pipeline:
         fr = facts.split_lookup(facts.build_fact_rides(mv, rd, waybills).looked.checkpoint())
         matched = fr.rides
         self._append_new(matched, "fact_rides", ["ride_id"])
-        # a ride ends after it is ordered: stored rides of the batch sit in later partitions
-        done = self.table("fact_rides", since=first_order.date() if first_order else None).select("ride_id")
-        still = fr.quarantine.join(done, "ride_id", "left_anti")
-        write_snapshot(still, self.t("quarantine_rides"), self.batch)
+        done = self.table("fact_rides").select("ride_id")
+        write_snapshot(fr.quarantine.join(done, "ride_id", "left_anti"), self.t("quarantine_rides"), self.batch)
+        # a header without a client's phone never becomes a fact
+        closed = done.unionByName(rd.filter(F.col("client_phone").isNull()).select("ride_id"))
+        write_snapshot(rd.join(closed, "ride_id", "left_anti"), self.t("open_rides"), self.batch)
+        write_snapshot(mv.join(closed.withColumnRenamed("ride_id", "ride"), "ride", "left_anti"),
+                       self.t("open_events"), self.batch)
 
         # payments come from files already selected by modification time (modifiedAfter)
         pay = facts.build_fact_payments(inp.payments).checkpoint()
@@ -240,7 +248,13 @@ class Pipeline:
         w = ts_lit(wm)
         self._dim("dim_cars", dims.cars_delta(inp.car_pool, w), lambda cur, d: dims.apply_cars(cur, d))
         self._dim("dim_drivers", dims.drivers_delta(inp.drivers, w), lambda cur, d: dims.apply_drivers(cur, d))
-        new_versions = dims.clients_delta(inp.rides, w).checkpoint()
+        # cards first seen: rides of this batch whose (phone, card) the dimension does not hold, not the whole history
+        recent = inp.rides.filter(F.col("dt") > w)
+        if latest_snapshot(self.spark, self.t("dim_clients/open")) is not None:
+            known = self.dim("dim_clients").select(F.col("phone_num").alias("_phone"), F.col("card_num").alias("_card"))
+            recent = recent.join(known, F.col("client_phone").eqNullSafe(F.col("_phone"))
+                                 & F.col("card_num").eqNullSafe(F.col("_card")), "left_anti")
+        new_versions = dims.clients_delta(recent).checkpoint()
         self._dim("dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
         # phones whose client-history rows this batch can change (a superset is fine)
         touched = marts.affected_phones(self.dim("dim_clients"), new_versions, self._batch_rides,

@@ -254,7 +254,8 @@ def q_mart_append(spark, sf):
     wh = Warehouse(spark, sf)
     path = scratch_path(spark, "rep_drivers_payments")
     for day in (REPORT_DAY - _dt.timedelta(days=1), REPORT_DAY, REPORT_DAY):
-        append_mart(marts.drivers_payments(wh.fact_rides, wh.dim_drivers, day), path)
+        ended = wh.fact_rides_ended(str(day), str(day + _dt.timedelta(days=1)))
+        append_mart(marts.drivers_payments(ended, wh.dim_drivers, day), path)
     return spark.read.parquet(path).select("personnel_num", "last_name", "first_name", "middle_name", "card_num",
                                            "amount", F.col("report_dt").cast("date").alias("report_dt"))
 

@@ -48,7 +48,7 @@ class Warehouse:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return facts.ride_driver_lookup(self.finished, self.fact_waybills, facts.rides_per_car_day(self.movement))
+        return facts.ride_driver_lookup(self.finished, self.fact_waybills, self.rides)
 
     @cached_property
     def fact_rides_all(self) -> facts.FactRides:

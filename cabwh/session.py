@@ -31,20 +31,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if the session has none.
+    """Return the shared checkpoint folder; a local session without one gets a temporary folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach; it is
-    read, never replaced. Only a session without it (tests, local runs) gets a temp dir.
+    On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach; it is read, never replaced, and
+    a cluster session without it is an error: a folder of the driver's own disk would be invisible to executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current.replace("file:", "", 1) if current.startswith("file:/") else current
-    path = tempfile.mkdtemp(prefix="cabwh-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="cabwh-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

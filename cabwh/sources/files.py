@@ -38,17 +38,18 @@ PAYMENT_TSV_SCHEMA = T.StructType([
 ])
 
 
-def _since_opt(since) -> dict:
+def _since_opt(since, zone: str) -> dict:
+    """``since`` is a wall-clock time of ``zone``, whatever the session's zone is."""
     if since is None:
         return {}
     if isinstance(since, _dt.datetime):
         since = since.strftime("%Y-%m-%dT%H:%M:%S")
-    return {"modifiedAfter": str(since).replace(" ", "T")}
+    return {"modifiedAfter": str(since).replace(" ", "T"), "timeZone": zone}
 
 
-def read_waybills_raw(spark: SparkSession, path: str, since=None) -> DataFrame:
+def read_waybills_raw(spark: SparkSession, path: str, since=None, zone: str = "UTC") -> DataFrame:
     return (spark.read.schema(WAYBILL_XML_SCHEMA)
-            .options(rowTag="waybill", pathGlobFilter="*.xml", **_since_opt(since))
+            .options(rowTag="waybill", pathGlobFilter="*.xml", **_since_opt(since, zone))
             .xml(path))
 
 
@@ -67,15 +68,15 @@ def flatten_waybills(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_waybills(spark: SparkSession, path: str, since=None) -> DataFrame:
+def read_waybills(spark: SparkSession, path: str, since=None, zone: str = "UTC") -> DataFrame:
     """XML waybills -> flat typed rows."""
-    return flatten_waybills(read_waybills_raw(spark, path, since))
+    return flatten_waybills(read_waybills_raw(spark, path, since, zone))
 
 
-def read_payments(spark: SparkSession, path: str, since=None) -> DataFrame:
+def read_payments(spark: SparkSession, path: str, since=None, zone: str = "UTC") -> DataFrame:
     """C4: headerless tab-separated payments, card number kept as text."""
     return (spark.read.schema(PAYMENT_TSV_SCHEMA)
-            .options(sep="\t", header="false", pathGlobFilter="*.csv", mode="PERMISSIVE", **_since_opt(since))
+            .options(sep="\t", header="false", pathGlobFilter="*.csv", mode="PERMISSIVE", **_since_opt(since, zone))
             .csv(path))
 
 

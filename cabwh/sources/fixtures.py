@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cabwh.constants import EVENT_BEGIN, EVENT_CANCEL, EVENT_END, EVENT_READY, STATUS_FAILURE, STATUS_SUCCESS
 from cabwh.functions.time import add_seconds, int_div, ts_lit
-from cabwh.sources.tables import _stamp, read_table
+from cabwh.sources.tables import read_table
 
 # --- fixed values: fixture calendar (FIXTURES.md) ------------------------------
 T0 = "2024-01-01 00:00:00"
@@ -44,15 +44,9 @@ def day_offset(days) -> Column:
     return ts_lit(T0) + F.make_dt_interval(d.cast("int"))
 
 
-_COUNTS: dict[tuple, int] = {}
-
-
 def supplier_count(spark: SparkSession, sf_dir: str) -> int:
-    """Number of suppliers (= cars): a scalar, counted once per session and file version."""
-    key = _stamp(spark, os.path.join(sf_dir, "supplier.parquet"))
-    if key not in _COUNTS:
-        _COUNTS[key] = read_table(spark, sf_dir, "supplier", ["s_suppkey"], spread_small=False).count()
-    return _COUNTS[key]
+    """Number of suppliers (= cars): a scalar."""
+    return read_table(spark, sf_dir, "supplier", ["s_suppkey"]).count()
 
 
 def _ride_columns(orders: DataFrame, n: int) -> DataFrame:
@@ -295,14 +289,6 @@ class Sources:
         return ledger(self.spark, self.sf_dir)
 
 
-_SOURCES: dict[tuple, Sources] = {}
-
-
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The sources of ``sf_dir``; one (lazily built, immutable) set per session and file version."""
-    key = (*_stamp(spark, os.path.join(sf_dir, "orders.parquet")),
-           _stamp(spark, os.path.join(sf_dir, "supplier.parquet"))[2],
-           _stamp(spark, os.path.join(sf_dir, "events.parquet"))[2])
-    if key not in _SOURCES:
-        _SOURCES[key] = Sources(spark, sf_dir)
-    return _SOURCES[key]
+    """The sources of ``sf_dir``, each built when first used."""
+    return Sources(spark, sf_dir)

@@ -2,80 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-# (application id, path, mtime) -> number of scan partitions; planning a scan is cheap but
-# not free, and the same files are read by many plans of one session
-_SCAN_PARTS: dict[tuple, int] = {}
-
-
-def _stamp(spark: SparkSession, path: str) -> tuple:
-    try:
-        mtime = os.path.getmtime(path)
-    except OSError:  # not a local path: key on the path alone
-        mtime = None
-    return (spark.sparkContext.applicationId, path, mtime)
-
-
-def scan_partitions(df: DataFrame, key: tuple | None = None) -> int | None:
-    """Partitions the scan yields (planning only, no job); None when the session does not
-    expose its physical plan (then nothing is spread)."""
-    if key is not None and key in _SCAN_PARTS:
-        return _SCAN_PARTS[key]
-    try:
-        n = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a session without a JVM-side plan handle
-        return None
-    if key is not None:
-        _SCAN_PARTS[key] = n
-    return n
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _size(path: str) -> int | None:
-    if not os.path.exists(path):
-        return None  # not a local path: treat as large
-    if os.path.isfile(path):
-        return os.path.getsize(path)
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
-
-
-def spread(df: DataFrame, key: tuple | None = None, path: str | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A file with a single row group is read by one task, and every per-row step before the
-    first shuffle would run in that task. Large inputs split into many scan partitions by
-    themselves and are returned untouched (no extra shuffle at scale); tiny ones (under
-    1 MiB) are not worth a shuffle either.
-    """
-    size = _size(path) if path else None
-    if size is not None and size < SPREAD_MIN_BYTES:
-        return df
-    parts = scan_partitions(df, key)
-    if parts is None:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if parts < cores:
-        return df.repartition(cores)
-    return df
-
-
-_READS: dict[tuple, DataFrame] = {}
-
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread_small: bool = True) -> DataFrame:
-    """A pruned scan of one given table. DataFrames are immutable plans, so one per
-    (session, file version, columns) is reused instead of re-listing the files."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (*_stamp(spark, path), tuple(columns or ()), spread_small)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        if columns:
-            df = df.select(*columns)
-        _READS[key] = spread(df, _stamp(spark, path), path) if spread_small else df
-    return _READS[key]
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A pruned scan of one given table, as the files are now."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*columns) if columns else df

@@ -153,7 +153,7 @@ def test_clipped_overtime_equals_brute_force(spark):
     assert got == sorted(want) and len(got) > 10
 
 
-def test_salted_lookup_equals_plain(spark):
+def test_split_lookup_equals_brute_force(spark):
     from cabwh.operators.lookup import point_in_time_lookup
 
     rnd = random.Random(17)
@@ -165,15 +165,34 @@ def test_salted_lookup_equals_plain(spark):
         for h in range(0, 48, 5):
             s = base + dt.timedelta(hours=h)
             iv_rows.append((f"W{car}{h}", f"D{car}{h % 3}", car, s, s + dt.timedelta(hours=rnd.choice([3, 6, 9]))))
+    iv_rows.append(("Wopen", "Dopen", "K3", base + dt.timedelta(hours=40), dt.datetime(9999, 12, 31)))
+    facts_rows += [(9001, None, base), (9002, "K1", None)]
     fa = spark.createDataFrame(facts_rows, "ride_id long, car_plate_num string, dt timestamp_ntz")
     iv = spark.createDataFrame(iv_rows, "waybill_num string, driver_pers_num string, car_plate_num string, "
                                         "work_start_dt timestamp_ntz, work_end_dt timestamp_ntz")
     args = dict(fact_id="ride_id", fact_key="car_plate_num", fact_ts="dt", iv_key="car_plate_num",
                 iv_start="work_start_dt", iv_end="work_end_dt", order=["work_start_dt", "waybill_num"],
                 take=["waybill_num", "driver_pers_num"])
-    plain = sorted(map(tuple, point_in_time_lookup(fa, iv, **args).collect()), key=str)
-    salted = sorted(map(tuple, point_in_time_lookup(fa, iv, rows_per_task=100, **args).collect()), key=str)
-    assert plain == salted and len(plain) == 3000
+    got = {r.ride_id: (r.waybill_num, r["_matches"]) for r in point_in_time_lookup(fa, iv, **args).collect()}
+    for ride, car, at in facts_rows:
+        hits = sorted((s, w) for w, _, c, s, e in iv_rows if c == car and at is not None and s <= at <= e)
+        assert got[ride] == (hits[0][1] if hits else None, len(hits))
+    assert len(got) == len(facts_rows)
+
+
+def test_interval_join_splits_a_hot_key(spark):
+    from cabwh.operators.lookup import interval_join
+
+    base = dt.datetime(2024, 1, 1)
+    fact_rows = [(i, "hot" if i % 3 else f"p{i % 50}", base + dt.timedelta(hours=i % 700)) for i in range(2000)]
+    versions = [(k, s, base + dt.timedelta(days=d, hours=23)) for k in ["hot", *[f"p{i}" for i in range(50)]]
+                for d in range(0, 30, 5) for s in [base + dt.timedelta(days=d)]]
+    fa = spark.createDataFrame(fact_rows, "i long, phone string, at timestamp_ntz")
+    ve = spark.createDataFrame(versions, "key string, s timestamp_ntz, e timestamp_ntz")
+    got = interval_join(fa, ve, "phone", "at", "key", "s", "e")
+    assert got.columns == ["i", "phone", "at", "key", "s", "e"]
+    want = [(*f, *v) for f in fact_rows for v in versions if f[1] == v[0] and v[1] <= f[2] <= v[2]]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
 
 
 def test_pivot_equals_spark_pivot(spark, sf_small):
