@@ -173,6 +173,12 @@ class Pipeline:
         (new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts)
          .write.mode("append").partitionBy(part).parquet(path))
 
+    def _stored(self, table: str, delta: DataFrame) -> DataFrame:
+        """A fact table; while no load has stored a row there is no file to read, and it has the delta's columns."""
+        if read_or_none(self.spark, self.t(table)) is None:
+            return delta.filter(F.lit(False))
+        return self.table(table)
+
     def _with_open(self, new: DataFrame, table: str, key: str) -> DataFrame:
         """``new`` and the rows the last batch left open, one per key."""
         left = read_or_none(self.spark, latest_snapshot(self.spark, self.t(table)))
@@ -192,14 +198,14 @@ class Pipeline:
         rd = rd.checkpoint()
         first_order = rd.agg(F.min("dt")).first()[0]
         # only waybills still open at the earliest order time can contain a ride of the batch
-        waybills = self.table("fact_waybills")
+        waybills = self._stored("fact_waybills", fw_delta)
         if first_order is not None:
             waybills = waybills.filter(F.col("work_end_dt") >= F.lit(first_order))
         # the lookup is computed once; fact rows and quarantine are both read from it
         fr = facts.split_lookup(facts.build_fact_rides(mv, rd, waybills).looked.checkpoint())
         matched = fr.rides
         self._append_new(matched, "fact_rides", ["ride_id"])
-        done = self.table("fact_rides").select("ride_id")
+        done = self._stored("fact_rides", matched).select("ride_id")
         write_snapshot(fr.quarantine.join(done, "ride_id", "left_anti"), self.t("quarantine_rides"), self.batch)
         # a header without a client's phone never becomes a fact
         closed = done.unionByName(rd.filter(F.col("client_phone").isNull()).select("ride_id"))
