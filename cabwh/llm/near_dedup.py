@@ -8,7 +8,8 @@
    confirmed ones are merged into components. A bucket whose members are all in one component is done. Otherwise
    its centre has now met everybody and leaves. So does every member that cannot be linked with any other one left:
    shingles that no other one has are missing in each intersection, which bounds the similarity from above. The
-   rest chooses new centres, twice as many each round. So no two members that are still apart and could be
+   rest chooses new centres, 4 times as many each round. Members and a centre that share many buckets meet in one
+   of them only. So no two members that are still apart and could be
    linked stay uncompared, while a group around one original costs one edge a member.
 
 There are as many bands as it takes for two documents at the wanted similarity to share no bucket with a
@@ -197,13 +198,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         state = written(state, "star-round")
         if state.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(2 ** min(round_no, 30)))
+        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(4 ** min(round_no, 15)))
         centres = state.groupBy("key", slot.alias("slot")).agg(F.max(F.struct(
             "weight", (-F.col("row")).alias("minus"), "row", "n", "common", "comp")).alias("c"))
         centres = written(centres.select("key", F.col("c.row").alias("c_row"), F.col("c.n").alias("c_n"),
                                          F.col("c.common").alias("c_common"), F.col("c.comp").alias("c_comp")), "centres")
-        pairs = (state.join(centres, "key").filter("comp <> c_comp")
+        # keys: the buckets of a row, at most one a band; a pair is made in the first bucket where the centre meets the row
+        of_row = state.groupBy("row").agg(F.collect_list("key").alias("keys"))
+        of_centre = centres.groupBy("c_row").agg(F.collect_list("key").alias("c_keys"))
+        pairs = (state.join(of_row, "row").join(centres.join(of_centre, "c_row"), "key").filter("comp <> c_comp")
                  .filter((100 + percent) * F.least("common", "c_common") >= percent * (F.col("n") + F.col("c_n")))
+                 .filter(F.array_min(F.array_intersect("keys", "c_keys")) == F.col("key"))
                  .select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
