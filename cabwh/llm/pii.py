@@ -6,6 +6,7 @@
 2. Every distinct entity draws a surrogate from a keyed hash of its identity: the same number of digits, letters of
    the same script, a name of the title's gender. Draws that two entities share, or that are themselves an entity of
    the corpus, are found by a join over the distinct entities, and all but one owner draw again until none is left.
+   Every fourth draw is one sign longer (a name by a syllable), so a short form with few surrogates never runs out.
    So different entities stay different and no surrogate is someone else's real value.
 3. The surrogates are written back in each occurrence's own format (separators, capitals). Only documents that have
    entities are shuffled.
@@ -54,7 +55,7 @@ _NAME = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)?"
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"),
     ("secret", r"(?:(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd|bearer)[\"']?\s*[=:]\s*[\"']?"
-               r"(?P<v1>[A-Za-z0-9_\-+/=.~]{8,}))"),
+               r"(?P<v1>(?=[_\-+/=.~]*[A-Za-z0-9])[A-Za-z0-9_\-+/=.~]{8,}))"),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,}"
                r"|xox[abpr]-[A-Za-z0-9\-]{10,}|[0-9a-f]{32,})(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -117,15 +118,19 @@ class _Stream:
 
 
 def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
-    """The surrogate's canonical form: same type, length, character kinds, script and gender."""
+    """The surrogate's canonical form: same type, length, character kinds, script and gender.
+
+    Later attempts are longer, by a digit, letter or syllable; only an IPv4 address stays one of 254 ** 4.
+    """
     s = _Stream(key, kind, canonical, attempt)
+    more = attempt // 4
     if kind == "ipv4":
         return ".".join(str(1 + s.below(254)) for _ in range(4))
     if kind == "person":
         gender, script, name = canonical.split("|", 2)
         words = []
         for i, _ in enumerate(name.split()):
-            body = "".join(SYLLABLES[script][s.below(len(SYLLABLES[script]))] for _ in range(2 + s.below(2) + attempt // 4))
+            body = "".join(SYLLABLES[script][s.below(len(SYLLABLES[script]))] for _ in range(2 + s.below(2) + more))
             words.append(body + (ENDINGS[script][gender] if i == 0 else ""))
         return f"{gender}|{script}|" + " ".join(words)
     hexadecimal = kind == "secret" and re.fullmatch(r"[0-9a-f]+", canonical)
@@ -147,15 +152,17 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if kind == "email":                                  # a reserved domain, and as many labels as before
         local, _, domain = "".join(out).partition("@")
         labels = domain.split(".")
-        out = [local, "@", ".".join(labels[:-2] + ["example", ("com", "net", "org")[s.below(3)]])]
-    return "".join(out)
+        local += "".join("abcdefghijklmnopqrstuvwxyz"[s.below(26)] for _ in range(more))
+        return f"{local}@" + ".".join(labels[:-2] + ["example", ("com", "net", "org")[s.below(3)]])
+    signs = "0123456789abcdef" if hexadecimal else "0123456789"
+    return "".join(out) + "".join(signs[s.below(len(signs))] for _ in range(more))
 
 
 def rendered(original: str, kind: str, surrogate: str) -> str:
     """A surrogate in the format of one occurrence of its original."""
     if kind in ("phone", "card", "ssn", "iban"):
         signs = iter(surrogate)
-        return "".join(next(signs) if c.isalnum() else c for c in original)
+        return "".join(next(signs) if c.isalnum() else c for c in original) + "".join(signs)
     if kind == "person":
         words, new = original.split(" "), surrogate.split("|", 2)[2].split(" ")
         return " ".join(n.upper() if len(o) > 1 and o.isupper() else n.capitalize() for o, n in zip(words, new, strict=True))

@@ -211,6 +211,18 @@ def test_pii_surrogates_stay_distinct(spark):
     assert not {r.surrogate for r in got} & {r.canonical for r in got}
 
 
+def test_pii_surrogates_never_run_out(spark):
+    assert not pii.entities("Password: ________________\nToken:\n====================\n")
+    assert [k for *_, k, _ in pii.entities("password: =======1")] == ["secret"]
+    own = [("secret", c) for c in ("=======1", "========", "~~~~~~~~")] + [("email", f"a@b{i}.de") for i in range(100)]
+    own += [("email", f"_@b{i}.de") for i in range(5)] + [("ssn", str(i)) for i in range(10, 100)]
+    got = pii.assign(spark.createDataFrame(own, "kind string, canonical string"), b"k").collect()
+    assert len({(r.kind, r.surrogate) for r in got}) == len(own)
+    assert not {(r.kind, r.surrogate) for r in got} & set(own)
+    assert all(re.fullmatch(r"[a-z_]+@example\.(com|net|org)", r.surrogate) for r in got if r.kind == "email")
+    assert pii.rendered("(12) 34", "phone", "98765") == "(98) 765"
+
+
 def test_quality_separates_and_survives_missing_labels(spark):
     rng = random.Random(4)
     good = [" ".join(rng.choice(["the", "river", "stone", "walks", "green", "light"]) for _ in range(60)) for _ in range(150)]
