@@ -35,6 +35,9 @@ PIECES_PER_TASK = 250_000
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Texts of these characters only: all pattern libraries class them alike.
 _SAME = re.compile(r"[\x09-\x0d\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*")
+#: White space in a row up to which the rank encoder is safe; its pattern library overflows near 1,000,000.
+SAFE_BLANKS = 100_000
+_BLANKS = re.compile(r"\s{2,}")
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -59,14 +62,19 @@ def _tokenizer(path: str) -> tuple:
     return _tokenizers[path]
 
 
+def _long_blanks(text: str) -> bool:
+    return len(text) > SAFE_BLANKS and any(m.end() - m.start() > SAFE_BLANKS for m in _BLANKS.finditer(text))
+
+
 def encode(text: str, path: str) -> bytes:
     """The token ids of a whole text as little-endian unsigned 32-bit integers.
 
     The rank encoder gives the same ids about four times as fast; texts with characters that its pattern
-    library could class differently go through the tokenizer itself.
+    library could class differently, or with more white space in a row than it can take, go through the
+    tokenizer itself.
     """
     full, fast = _tokenizer(path)
-    if fast and _SAME.fullmatch(text):
+    if fast and _SAME.fullmatch(text) and not _long_blanks(text):
         ids = fast.encode_ordinary(text)
     else:
         ids = full.encode_batch_fast([text], add_special_tokens=False)[0].ids

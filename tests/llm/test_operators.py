@@ -127,6 +127,14 @@ def test_encode_equals_tokenizer():
         assert packing.encode(text, path) == want
 
 
+def test_encode_takes_megabytes_of_blanks():
+    path = packing.default_tokenizer()
+    full, _ = packing._tokenizer(path)
+    for text in [" " * 3_000_000, "a" + "\n  " * 700_000 + "b", "x" * packing.SAFE_BLANKS + " y" * 10]:
+        want = np.asarray(full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert packing.encode(text, path) == want
+
+
 def test_warc_round_trip_over_split_borders(spark):
     same = "<p>" + "x" * 5000 + "</p>"
     pages = [(i, f"http://h/{i} é", same if i % 3 else f"<p>{i}{random.Random(i).random()}</p>" * 50) for i in range(40)]
