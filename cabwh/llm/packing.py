@@ -39,6 +39,7 @@ _SAME = re.compile(r"[\x09-\x0d\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*"
 SAFE_BLANKS = 100_000
 _BLANKS = re.compile(r"\s{2,}")
 _tokenizers: dict[str, tuple] = {}
+_added: dict[str, list[str]] = {}
 
 
 def _tokenizer(path: str) -> tuple:
@@ -49,7 +50,6 @@ def _tokenizer(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         full, fast = Tokenizer.from_file(path), None
-        full.encode_special_tokens = True
         ranks = os.path.splitext(path)[0] + ".tiktoken"
         if os.path.exists(ranks):
             import tiktoken
@@ -59,6 +59,7 @@ def _tokenizer(path: str) -> tuple:
             fast = tiktoken.Encoding(os.path.basename(ranks), pat_str=PATTERN, special_tokens={},
                                      mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs})
         _tokenizers[path] = full, fast
+        _added[path] = [t.content for t in full.get_added_tokens_decoder().values()]
     return _tokenizers[path]
 
 
@@ -70,11 +71,11 @@ def encode(text: str, path: str) -> bytes:
     """The token ids of a whole text as little-endian unsigned 32-bit integers.
 
     The rank encoder gives the same ids about four times as fast; texts with characters that its pattern
-    library could class differently, or with more white space in a row than it can take, go through the
-    tokenizer itself.
+    library could class differently, with more white space in a row than it can take, or with an added token,
+    which has no rank, go through the tokenizer itself.
     """
     full, fast = _tokenizer(path)
-    if fast and _SAME.fullmatch(text) and not _long_blanks(text):
+    if fast and _SAME.fullmatch(text) and not _long_blanks(text) and not any(t in text for t in _added[path]):
         ids = fast.encode_ordinary(text)
     else:
         ids = full.encode_batch_fast([text], add_special_tokens=False)[0].ids

@@ -127,6 +127,17 @@ def test_encode_equals_tokenizer():
         assert packing.encode(text, path) == want
 
 
+def test_encode_equals_unmodified_tokenizer():
+    import tokenizers
+
+    path = packing.default_tokenizer()
+    plain = tokenizers.Tokenizer.from_file(path)
+    for text in ["a <|endoftext|> b", "<|endoftext|>", "été<|endoftext|><|endoftext|>\n", "a <|endoftext| > b", "a  b"]:
+        want = np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert packing.encode(text, path) == want
+    assert np.frombuffer(packing.encode("a <|endoftext|> b", path), "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_encode_takes_megabytes_of_blanks():
     path = packing.default_tokenizer()
     full, _ = packing._tokenizer(path)
