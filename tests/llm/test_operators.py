@@ -173,6 +173,19 @@ def test_html_differencing_and_markup(spark):
     assert got[3] == "Site name only one All rights reserved" and got[6] == "text i j"
 
 
+def test_html_wrappers_with_marked_names_keep_their_article():
+    text = lambda page: " ".join(t for t, _ in html_extract.lines_of(page))
+    for name in ('class="content-sidebar-wrap"', 'id="search-content"', 'class="page-side-left"'):
+        page = f"<div {name}><article><p>the story</p></article><div class='sidebar'>links</div><aside>more</aside></div>"
+        assert html_extract.lines_of(page) == [("the story", True)]
+        assert text(f"<div {name}><div class='nav'>menu</div><p>all</p><p>there is</p></div>") == "all there is"
+        assert text(f"<div {name}><p>beside</p></div><p>story</p>") == "story"
+    assert text("<div class='sidebar'><article>teaser</article></div><p>story</p>") == "story"
+    assert text("<div class='modal'><main>story</main></div>") == "story"
+    assert text("<main>story</main><ol class='comment-list'><article class='comment-body'>no</article></ol>") == "story"
+    assert text("<div class='ad'><div class='ad-box'>buy</div></div><div hidden><main>no</main></div>") == ""
+
+
 def test_shared_lines_is_a_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(300):
