@@ -173,6 +173,17 @@ def test_html_differencing_and_markup(spark):
     assert got[3] == "Site name only one All rights reserved" and got[6] == "text i j"
 
 
+def test_html_lines_outside_an_article_stay_unless_shared(spark):
+    page = lambda n: (f"<div>Site name</div><div class='content'><p>story {n}</p></div>"
+                      f"<article class='card'>card</article><p>quote</p><article>quote</article><div>All rights</div>")
+    pages = [(1, "http://a/x/1", page(1)), (2, "http://a/x/2", page(2)), (3, "http://b/1", "<p>lead</p><main>body</main>"),
+             (4, "http://c/1", "<div>same</div><main>m</main>"), (5, "http://c/2", "<div>same</div><main>m</main>"),
+             (6, "http://d/1", "<main>only</main>")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r.id: r.text for r in html_extract.extract(df).collect()}
+    assert got == {1: "story 1 card quote", 2: "story 2 card quote", 3: "lead body", 4: "m", 5: "m", 6: "only"}
+
+
 def test_html_wrappers_with_marked_names_keep_their_article():
     text = lambda page: " ".join(t for t, _ in html_extract.lines_of(page))
     for name in ('class="content-sidebar-wrap"', 'id="search-content"', 'class="page-side-left"'):
