@@ -3,6 +3,8 @@
 1. One pass finds the entities of every whole text (e-mail, phone, IP address, card and account numbers, national
    ids, secrets, names after a title). An entity's identity is its type and canonical form: digits without
    their separators, e-mail in lower case, a name without its title. All its occurrences get the same surrogate.
+   In the text that titles a person, the bare full name, the surname and the titled surname are that person too (of
+   several with the same surname the one named last).
 2. Every distinct entity draws a surrogate from a keyed hash of its identity: the same number of digits, letters of
    the same script, a name of the title's gender. Draws that two entities share, or that are themselves an entity of
    the corpus, are found by a join over the distinct entities, and all but one owner draw again until none is left.
@@ -20,8 +22,10 @@ empty table gives no rows; very long texts are searched whole; all other columns
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -51,6 +55,7 @@ ENDINGS = {"latin": {"m": "o", "f": "a", "": "en"}, "cyrillic": {"m": "ов", "f
 
 _TITLE = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 _NAME = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)?"
+_H, _V4 = r"[0-9A-Fa-f]{1,4}", r"(?:\d{1,3}\.){3}\d{1,3}"
 #: Patterns by type, the first one that matches at a place wins; group "v" is what is replaced.
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"),
@@ -59,11 +64,19 @@ PATTERNS = [
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9\-]{20,}"
                r"|xox[abpr]-[A-Za-z0-9\-]{10,}|[0-9a-f]{32,})(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    ("ipv6", rf"(?<![\w:.])(?=[0-9A-Fa-f]{{0,4}}:)(?=[A-Fa-f:]*\d)(?:(?:{_H}:){{6}}(?:{_V4}|{_H}:{_H})"
+             rf"|(?:{_H}(?::{_H}){{0,6}})?::(?:(?:{_H}:){{0,5}}{_V4}|{_H}(?::{_H}){{0,6}})?)(?![\w:]|\.\d)"),
     ("ipv4", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("card", r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)"),
     ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}(?:[ .-]?\d{2,4}){1,2}(?!\d)"
-              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"),
+              r"|(?<![\w+])(?:\+|00)\d{1,3}(?:[ .-]?\(0\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
+              r"|(?<![\w+])(?:\+|00)\d{1,3}[ .-]?\d(?:[ .-]?\d{2,4}){3,5}(?!\d)"
+              r"|(?<![\w.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"
+              # national groups after a trunk zero: 01 23 45 67 89, 030 1234567, 0171 123 45 67
+              r"|(?<![\w.,+/-])0[1-9](?:[ .-]\d{2}){4}(?![\w-]|[ .]\d)"
+              r"|(?<![\w.,+/-])0[1-9]\d{1,3}(?:[ -]| ?/ ?)(?:\d{5,8}(?:-\d{1,4})?|\d{3,4}(?: \d{2,4}){1,3}"
+              r"|\d{2}(?: \d{2}){2,3})(?![\w-]|[ .]\d)"),
     ("person", rf"(?<!\w)(?:{_TITLE})\.?[ ](?P<v2>{_NAME}(?:[ ]{_NAME}){{0,2}})"),
 ]
 _ANY = re.compile("|".join(f"(?P<t{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
@@ -71,6 +84,10 @@ _ANY = re.compile("|".join(f"(?P<t{i}>{p})" for i, (_, p) in enumerate(PATTERNS)
 _HINT = re.compile(rf"[0-9@]|(?i:secret|token|passw|pwd|bearer|key)|(?<!\w)(?:{_TITLE})\.?[ ]")
 
 
+_WORD = re.compile(rf"(?<!\w)(?<!\w-){_NAME}(?!\w)")
+_POSSESSIVE = re.compile(r"['’][sS]\Z")
+
+
 def script_of(text: str) -> str:
     for c in text:
         if c.isalpha():
@@ -90,16 +107,73 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         group = "v1" if m["v1"] is not None else "v2" if m["v2"] is not None else 0
         value = m.group(group)
         if kind == "person":
+            value = _POSSESSIVE.sub("", value)
             gender = TITLES[re.match(rf"(?:{_TITLE})", m.group(0)).group(0)]
             canonical = f"{gender}|{script_of(value)}|{value.casefold()}"
         elif kind in ("phone", "card", "ssn"):
-            canonical = re.sub(r"\D", "", value)
+            canonical = re.sub(r"\(0\)|\D", "", value)
         elif kind == "iban":
             canonical = value.replace(" ", "")
+        elif kind == "ipv6":
+            try:
+                canonical = ipaddress.IPv6Address(value).packed.hex(":", 2)
+            except ValueError:
+                continue
         else:
             canonical = value.lower() if kind == "email" else value
-        found.append((m.start(group), m.end(group), kind, canonical))
-    return found
+        found.append((m.start(group), m.start(group) + len(value), kind, canonical))
+    return _with_mentions(text, found) if any(kind == "person" for _, _, kind, _ in found) else found
+
+
+def _nearest(known: list[tuple[int, str]], at: int) -> str:
+    """Of (place, canonical form) in order: the last one up to a place, or else the first."""
+    return known[max(bisect.bisect_right(known, at, key=lambda k: k[0]) - 1, 0)][1]
+
+
+def _with_mentions(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """The entities with titled parts of a name as the whole one's, and with the bare mentions of all persons."""
+    whole: dict[tuple[str, str], list[tuple[int, str]]] = {}     # by gender ("*": any) and the name or its surname
+    persons = [(a, c) for a, _, kind, c in found if kind == "person"]
+    # a name of several words, and of those one with a gender, says who the others are
+    for a, c in persons:
+        gender, _, name = c.split("|", 2)
+        for key in {name, name.rsplit(" ", 1)[-1]} if " " in name else ():
+            for g in {gender, "*"}:
+                whole.setdefault((g, key), []).append((a, c))
+    same: dict[tuple[int, str], str] = {}
+    for a, c in persons:
+        gender, _, name = c.split("|", 2)
+        known = whole.get((gender or "*", name))
+        if not gender and known:
+            known = [k for k in known if k[1][0] != "|"] or known
+        elif gender and " " not in name:
+            known = known or whole.get(("", name))
+        same[a, c] = c if not known or gender and " " in name else _nearest(known, a)
+    found = [(a, b, kind, same.get((a, c), c) if kind == "person" else c) for a, b, kind, c in found]
+    names: dict[str, list[tuple[int, str]]] = {}
+    for a, _, kind, c in found:
+        if kind == "person":
+            name = c.split("|", 2)[2]
+            for key in {name, name.rsplit(" ", 1)[-1]}:
+                if len(key) > 1:
+                    names.setdefault(key, []).append((a, c))
+    out, end = [], 0
+    for span in [*found, (len(text), len(text), "", "")]:
+        words = [(m.start(), m.start() + len(w), w.casefold()) for m in _WORD.finditer(text, end, span[0])
+                 for w in [_POSSESSIVE.sub("", m.group())]]
+        i = 0
+        while i < len(words):
+            n = 1
+            for n in (3, 2, 1):
+                if i + n <= len(words) and all(text[words[k][1]:words[k + 1][0]].isspace() for k in range(i, i + n - 1)):
+                    known = names.get(" ".join(w for *_, w in words[i:i + n]))
+                    if known:
+                        out.append((words[i][0], words[i + n - 1][1], "person", _nearest(known, words[i][0])))
+                        break
+            i += n
+        out.append(span)
+        end = span[1]
+    return out[:-1]
 
 
 class _Stream:
@@ -126,6 +200,13 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     more = attempt // 4
     if kind == "ipv4":
         return ".".join(str(1 + s.below(254)) for _ in range(4))
+    if kind == "ipv6":                                   # zero groups stay, but one more every fourth attempt
+        groups, free = [], more
+        for g in canonical.split(":"):
+            drawn = g != "0000" or free > 0
+            free -= g == "0000"
+            groups.append(f"{1 + s.below(0xFFFF):04x}" if drawn else g)
+        return ":".join(groups)
     if kind == "person":
         gender, script, name = canonical.split("|", 2)
         words = []
@@ -134,7 +215,9 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
             words.append(body + (ENDINGS[script][gender] if i == 0 else ""))
         return f"{gender}|{script}|" + " ".join(words)
     hexadecimal = kind == "secret" and re.fullmatch(r"[0-9a-f]+", canonical)
-    fixed = 2 if kind == "iban" else 0                   # the country stays
+    # the country stays, and trunk zeros or the 1 before ten digits
+    fixed = 2 if kind == "iban" else 0 if kind != "phone" else \
+        1 if canonical[0] == "1" and len(canonical) == 11 else len(canonical) - len(canonical.lstrip("0"))
     out = []
     for i, c in enumerate(canonical):
         if i < fixed:
@@ -143,7 +226,7 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
             out.append("0123456789abcdef"[s.below(16)])
         elif c.isdigit():
             # a first digit stays non-zero
-            out.append(str(1 + s.below(9)) if i == 0 else str(s.below(10)))
+            out.append(str(1 + s.below(9)) if i == 0 or i == fixed and kind == "phone" else str(s.below(10)))
         elif c.isalpha():
             letter = "abcdefghijklmnopqrstuvwxyz"[s.below(26)]
             out.append(letter.upper() if c.isupper() else letter)
@@ -162,10 +245,17 @@ def rendered(original: str, kind: str, surrogate: str) -> str:
     """A surrogate in the format of one occurrence of its original."""
     if kind in ("phone", "card", "ssn", "iban"):
         signs = iter(surrogate)
-        return "".join(next(signs) if c.isalnum() else c for c in original) + "".join(signs)
+        return re.sub(r"\(0\)|[^\W_]", lambda c: c[0] if len(c[0]) > 1 else next(signs), original) + "".join(signs)
     if kind == "person":
-        words, new = original.split(" "), surrogate.split("|", 2)[2].split(" ")
-        return " ".join(n.upper() if len(o) > 1 and o.isupper() else n.capitalize() for o, n in zip(words, new, strict=True))
+        words, new = original.split(), surrogate.split("|", 2)[2].split(" ")
+        signs = iter(new[-len(words):])                  # a surname alone is the last word
+        return re.sub(r"\S+", lambda o: next(signs).upper() if len(o[0]) > 1 and o[0].isupper() else next(signs).capitalize(),
+                      original)
+    if kind == "ipv6":
+        address = ipaddress.IPv6Address(surrogate)
+        short = ":".join(f"{int(g, 16):x}" for g in surrogate.split(":"))
+        out = address.compressed if "::" in original else surrogate if len(original) == 39 else short
+        return out.upper() if re.search("[A-F]", original) else out
     if kind == "email" and original.isupper():
         return surrogate.upper()
     return surrogate

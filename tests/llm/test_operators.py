@@ -266,6 +266,36 @@ def test_pii_surrogates_never_run_out(spark):
     assert pii.rendered("(12) 34", "phone", "98765") == "(98) 765"
 
 
+def test_pii_mentions_of_a_titled_person(spark):
+    text = ("Mr Bob Li called. Later Bob Li signed; Li left. Li's bag, Mr Li's hat, Dr Li, BOB\nLI. Lima lies. "
+            "Mrs Ann Li and Mrs Li, then Li")
+    rows = [(1, text), (2, "Mr Bob Li"), (3, "Li and Bob Li without a title")]
+    got = {r.doc_id: r.text for r in pii.replace_entities(docs_of(spark, rows)).collect()}
+    first, last = re.fullmatch(r"Mr (\w+) (\w+)", got[2]).groups()
+    ann, other = re.search(r"Mrs (\w+) (\w+) and", got[1]).groups()
+    assert got[1] == (f"Mr {first} {last} called. Later {first} {last} signed; {last} left. {last}'s bag, Mr {last}'s hat, "
+                      f"Dr {last}, {first.upper()}\n{last.upper()}. Lima lies. Mrs {ann} {other} and Mrs {other}, then {other}")
+    assert got[3] == rows[2][1] and last != "Li" != other
+
+
+def test_pii_national_phones_and_ipv6():
+    for kind, values in {
+            "phone": ["+33 1 23 45 67 89", "01 23 45 67 89", "030 1234567", "1-800-555-1234", "+49 (0)30 1234567",
+                      "0171 123 45 67", "089 / 12 34 56 78", "0341/12345-67", "020 7946 0958"],
+            "ipv6": ["2001:db8::ff00:42:8329", "::1", "fe80::1", "2001:0db8:0000:0000:0000:ff00:0042:8329",
+                     "1:2:3:4:5:6:7:8", "::ffff:10.2.3.4", "FE80::A1"]}.items():
+        for value in values:
+            text = f"so {value}, and ({value})."
+            found = pii.entities(text)
+            assert [(text[a:b], k) for a, b, k, _ in found] == [(value, kind)] * 2
+            new = pii.rendered(value, kind, pii.draw(b"k", kind, found[0][3], 0))
+            assert new != value and [k for *_, k, _ in pii.entities(f"so {new}.")] == [kind]
+            assert kind == "ipv6" or re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+    assert pii.entities("2001:db8::1")[0][3] == pii.entities("2001:0DB8:0:0::1")[0][3]
+    for text in ["01.02.2024 12:30:45", "std::vector", "a::b", "at 12:30:45", "0.123 456", "01 02 03"]:
+        assert not pii.entities(text)
+
+
 def test_quality_separates_and_survives_missing_labels(spark):
     rng = random.Random(4)
     good = [" ".join(rng.choice(["the", "river", "stone", "walks", "green", "light"]) for _ in range(60)) for _ in range(150)]
