@@ -97,4 +97,5 @@ def test_anchors_sf01(spark):
     assert (dc.count(), dc.select("card_num").distinct().count()) == (19792, 14925)
     h = marts.clients_hist(wh.dim_clients, wh.fact_payments, wh.fact_rides)
     row = h.agg(F.sum("rides_cnt"), F.sum("cancelled_cnt"), F.sum("spent_amt"), F.sum("debt_amt")).first()
-    assert tuple(row) == (117343, 12727, Decimal("462192797.00"), Decimal("-136593833.00"))
+    # payments are stored once per id: an id that comes twice counts once
+    assert tuple(row) == (117343, 12727, Decimal("462146060.00"), Decimal("-136547096.00"))

@@ -1,18 +1,22 @@
-"""Every registered query equals its DuckDB oracle on the smallest scale factor."""
+"""Every registered warehouse query equals its DuckDB oracle on the smallest scale factor."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from cabwh.oracle.compare import canon, duck_rows
-
-QUERIES = queries()
-ORACLE = oracle_sql()
+from cabwh.oracle.sql import ORACLE
+from cabwh.plans.queries import REGISTRY as QUERIES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_driver_contract_lists_them():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_small, duck_small, name):
     df = QUERIES[name](spark, sf_small)
