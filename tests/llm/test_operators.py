@@ -66,6 +66,43 @@ def test_suffix_dedup_equals_brute_force(spark, rows):
     assert got == suffix_dedup.brute_force(unique)
 
 
+def test_suffix_dedup_repeated_and_null_ids(spark):
+    a, b = "first passage " * 9, "second, other words " * 9
+    docs = spark.createDataFrame([(1, a), (1, a), (2, a + b), (None, b), (None, b), (3, None), (3, "")],
+                                 "doc_id bigint, text string")
+    got = sorted((str(r.id), r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect())
+    # rows of one id never remove from each other; a null id is larger than all others, so both null rows lose b
+    assert got == sorted([("1", len(a), 0)] * 2 + [("2", len(a + b), len(a))] + [("None", len(b), len(b))] * 2
+                         + [("3", 0, 0)] * 2)
+
+
+def shard_of(texts):
+    data = b"".join(texts)
+    return suffix_dedup.Shard(list(range(len(texts))), list(np.cumsum([len(t) for t in texts])), data)
+
+
+def test_strings_that_differ_in_two_bytes_keep_their_own_number():
+    # 1,521 strings that differ only in bytes 7 and 15, the last ones of their 64-bit words
+    texts = [bytes(b"abcdefg%cabcdefg%cabcdefghijklmnopqrstuvwxyz012345678" % (x, y))
+             for x in range(48, 87) for y in range(48, 87)]
+    shard = shard_of(texts)
+    chosen = np.arange(len(shard.start))
+    want = {}
+    which = [want.setdefault(shard.data[s:s + n + 49], len(want)) for s, n in zip(shard.start, shard.size)]
+    example, found = shard._distinct(chosen)
+    assert len(example) == len(want) and len(set(zip(which, found.tolist()))) == len(want)
+    shard._codes = lambda runs: np.zeros(len(runs), dtype=np.uint64)    # even if all codes were alike
+    example, found = shard._distinct(chosen)
+    assert len(example) == len(want) and len(set(zip(which, found.tolist()))) == len(want)
+
+
+def test_key_ranges_are_even(spark, sf_small):
+    texts = [(r.text or "").encode() for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
+    keys = np.unique(shard_of(texts).key)
+    count = np.bincount(suffix_dedup.range_of(keys, 64), minlength=64)
+    assert count.max() < 3 * count.mean() and count.min() > 0
+
+
 def test_merged_transforms_find_owners(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", 400)
     rng = random.Random(2)
