@@ -47,7 +47,7 @@ def daily_run(spark, sf_dir: str) -> None:
     p.run_etl(Inputs(rides=src.rides, movement=src.movement, drivers=src.current("drivers", at),
                      car_pool=src.current("car_pool", at), waybills=src.waybills, payments=src.payments),
               started_at=at)
-    p.run_marts(REPORT_DAY, started_at=at + dt.timedelta(hours=1))
+    p.run_marts(REPORT_DAY)
 
 
 def input_rows(spark, sf_dir: str) -> dict[str, int]:

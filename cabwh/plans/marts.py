@@ -115,19 +115,39 @@ def drivers_violations(fact_rides: DataFrame, prior: DataFrame | None, report_dt
         "report_dt")
 
 
-def drivers_violations_full(fact_rides: DataFrame) -> DataFrame:
-    """All days at once: count of earlier violations per driver in (end date, ride id) order.
+def _numbered_violations(v: DataFrame) -> DataFrame:
+    """``v`` with the number of the driver's earlier rows of it in (end date, ride id) order.
 
     Numbered per (driver, day, ride-id range) and offset by the driver's earlier chunks, so a
     driver with a huge history (or a huge day) is split instead of sorted in one task; the
     chunk order (day, range) is the (day, ride) order.
     """
-    v = violations(fact_rides).withColumn(
-        "_chunk", F.struct(F.col("report_dt"), F.floor(F.col("ride") / RIDE_CHUNK).alias("r")))
+    v = v.withColumn("_chunk", F.struct(F.col("report_dt"), F.floor(F.col("ride") / RIDE_CHUNK).alias("r")))
     return running_index(v, "personnel_num", "_chunk", "ride", "violations_cnt").select(
         "personnel_num", "ride", "speed", "violations_cnt", "report_dt")
 
 
+def drivers_violations_full(fact_rides: DataFrame) -> DataFrame:
+    """All days at once: count of earlier violations per driver in (end date, ride id) order."""
+    return _numbered_violations(violations(fact_rides))
+
+
+def drivers_violations_from(fact_rides: DataFrame, state: DataFrame | None, first: _dt.date | None,
+                            last: _dt.date) -> DataFrame:
+    """The days ``first`` (None: all before) to ``last``, counted on from ``state`` (personnel_num, violations): each
+    driver's number of violations before ``first``."""
+    rows = fact_rides.filter(F.col("ride_end_dt") < ts_lit(last + _dt.timedelta(days=1)))
+    if first is not None:
+        rows = rows.filter(F.col("ride_end_dt") >= ts_lit(first))
+    rows = _numbered_violations(violations(rows))
+    if state is None:
+        return rows
+    return rows.join(state, "personnel_num", "left").select(
+        "personnel_num", "ride", "speed",
+        (F.col("violations_cnt") + F.coalesce("violations", F.lit(0))).cast("bigint").alias("violations_cnt"),
+        "report_dt")
+
+
 # --- C19 overtime -----------------------------------------------------------------------------
 
 def shifts_since(fact_waybills: DataFrame, report_dt) -> DataFrame:
@@ -212,6 +232,10 @@ def drivers_overtime_clipped(fact_waybills: DataFrame, report_dt) -> DataFrame:
                     F.col("work_start_dt").alias("period_start"), F.lit(day).alias("report_dt")))
 
 
+#: What a later report changes in a row of the client history.
+HISTORY_UPDATE_COLS = ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt", "deleted_flag"]
+
+
 # --- C20 client history -------------------------------------------------------------------------
 
 def paid_by_card(fact_payments: DataFrame) -> DataFrame:
@@ -273,8 +297,14 @@ def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: D
     """
     if affected is not None:
         dim_clients, fact_payments, fact_rides = restrict_to_phones(affected, dim_clients, fact_payments, fact_rides)
-    fp = paid_by_card(fact_payments).withColumnRenamed("card_num", "_fp_card")
-    frg = rides_by_client_card(fact_rides, dim_clients, half_open).withColumnRenamed("card_num", "_frg_card")
+    return history_rows(dim_clients, paid_by_card(fact_payments), rides_by_client_card(fact_rides, dim_clients, half_open))
+
+
+def history_rows(dim_clients: DataFrame, paid: DataFrame, rides: DataFrame) -> DataFrame:
+    """The history of the client versions in ``dim_clients`` (all of each phone's) from the sums of :func:`paid_by_card`
+    and :func:`rides_by_client_card`."""
+    fp = paid.withColumnRenamed("card_num", "_fp_card")
+    frg = rides.withColumnRenamed("card_num", "_frg_card")
     base = (dim_clients.join(fp, dim_clients.card_num == fp._fp_card, "left")
             .join(frg, (F.col("phone_num") == F.col("client_phone_num")) & (F.col("card_num") == F.col("_frg_card")),
                   "left"))

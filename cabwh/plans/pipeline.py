@@ -1,29 +1,32 @@
 """The daily job (C24): load facts and dimensions past the ledger watermark, then the marts.
 
-Storage layout under one warehouse folder (on a cluster: a shared path):
-
-* ``fact_*``              append-only Parquet; a batch appends only unseen keys (insert-ignore)
-* ``dim_*/open/snapshot=N``, ``dim_*/closed/batch=N``  open versions rewritten per batch, closed
-  versions append-only; readers take closed partitions of committed batches + the newest open snapshot
-* ``rep_*``               marts partitioned by ``report_dt`` (dynamic partition overwrite)
-* ``rep_clients_hist/snapshot=N``  the historical mart, upserted into a new snapshot
+All tables live in one :class:`~cabwh.sources.store.Store` below one warehouse folder (on a cluster: a shared path). A
+load publishes everything it wrote, its ledger row included, with one commit; a failed load publishes only the row
+``Failure``, so none of its facts is ever seen, and the reports refuse to run until the load was repeated. The
+reports of a day are one commit as well.
+
+* ``fact_*``              a part per (date, load), appended by insert-ignore against ``fact_*_keys``, an index of the
+  keys stored so far that is probed without a shuffle of it
+* ``dim_*``               the part ``open`` (one version per key, replaced by each load) and the versions a load closed
+* ``agg_paid``, ``agg_rides``  sums of payments by card and of rides by phone and card version, in hash buckets: a load
+  adds its own payments and rides, and moves rides whose client version it closed or opened late
+* ``rep_*``               reports, a part per day: a day that is run again is replaced
+* ``rep_drivers_violations_state``  each driver's number of violations at the end of a day, a part per day
+* ``rep_clients_hist``    the client history in hash buckets by client; only touched buckets are written
 * ``work_batchdate``      the batch ledger
 * ``quarantine_rides``    finished rides without a matching waybill
 * ``open_rides``, ``open_events``  headers and events of rides that are no facts yet (not finished, no header, no
   waybill): the next batch starts from them, so a ride that outlasts the look-back is not lost
-* ``touched_phones``      phones each batch touched; the next history report recomputes only those
+* ``touched_phones``      phones that loads touched since the last history report; it recomputes only those
 
-Nothing is ever overwritten while it is being read: dimensions and the client history are
-written to a new snapshot folder and only then become the newest one. Each write is one
-Spark job; a lost executor only re-runs its tasks from the deterministic inputs, and the
-deltas reused by several writes are checkpointed to the shared checkpoint folder.
+Each write is one Spark job; a lost executor only re-runs its tasks from the deterministic inputs, and the deltas
+reused by several writes are checkpointed to the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
-import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -37,11 +40,15 @@ from cabwh.constants import (
     STATUS_SUCCESS,
 )
 from cabwh.functions import ts_lit
+from cabwh.operators.buckets import BUCKETS
+from cabwh.operators.key_index import KeyIndex
 from cabwh.operators.scd2 import open_end
-from cabwh.operators.writes import insert_ignore, one_per_key, upsert
+from cabwh.operators.writes import one_per_key
 from cabwh.plans import dims, facts, marts
+from cabwh.plans.maintained import ClientHistory, ViolationCounts
 from cabwh.session import ensure_checkpoint_dir
 from cabwh.sources import extract
+from cabwh.sources.store import Load, Store
 
 
 def append_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> None:
@@ -59,31 +66,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-
-
-def latest_snapshot(spark: SparkSession, table: str) -> str | None:
-    """Newest ``snapshot=N`` folder that a finished job left (it holds ``_SUCCESS``)."""
-    snaps = []
-    for name in _list_dirs(spark, table):
-        m = re.fullmatch(r"snapshot=(\d+)", name)
-        if m and _exists(spark, f"{table}/{name}/_SUCCESS"):
-            snaps.append(int(m.group(1)))
-    return f"{table}/snapshot={max(snaps)}" if snaps else None
-
-
-def write_snapshot(df: DataFrame, table: str, batch: int) -> str:
-    path = f"{table}/snapshot={batch}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
     """The table at ``path``, or None when it does not exist or holds no rows yet (a job that
     wrote zero rows leaves only ``_SUCCESS``, and there is no schema to read)."""
@@ -137,17 +119,19 @@ class Inputs:
         )
 
 
+class LoadFailed(RuntimeError):
+    """The newest load failed: its reports would show a state that no load left."""
+
+
 class Pipeline:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.store = spark, Store(spark, root)
+        self.history, self.violations = ClientHistory(buckets), ViolationCounts()
         ensure_checkpoint_dir(spark)
 
-    def t(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     # -- ledger (C1, C23) ------------------------------------------------------------------
     def ledger(self) -> DataFrame | None:
-        return read_or_none(self.spark, self.t("work_batchdate"))
+        return self.store.read("work_batchdate")
 
     def watermark(self) -> _dt.datetime:
         led = self.ledger()
@@ -155,175 +139,149 @@ class Pipeline:
             return _dt.datetime(1900, 1, 1)
         return extract.last_success(led)
 
+    def _add_to_ledger(self, load: Load, started_at: _dt.datetime, status: str) -> None:
+        # a row per run: one small file
+        rows = extract.record_batch(self.spark, load.read("work_batchdate"), started_at, status)
+        load.write("work_batchdate", rows.coalesce(1), "all")
+
     def record(self, started_at: _dt.datetime, status: str) -> None:
-        extract.record_batch(self.spark, None, started_at, status).write.mode("append").parquet(self.t("work_batchdate"))
+        load = self.store.begin()
+        self._add_to_ledger(load, started_at, status)
+        load.commit()
 
     # -- facts --------------------------------------------------------------------------------
-    def _append_new(self, delta: DataFrame, table: str, keys: list[str]) -> None:
-        """Insert-ignore into a date-partitioned fact table.
-
-        A key may come again with another date (a re-issued waybill, a ride cancelled before and ended after
-        midnight), so the anti-join reads the key column of the whole table; on the first load, too, a key that
-        the delta repeats is stored once.
-        """
-        path = self.t(table)
+    def _append_new(self, load: Load, new: DataFrame, table: str, index: KeyIndex) -> None:
+        """Append rows whose keys the table does not hold (one per key), in parts by date, and their keys."""
         part, ts = FACT_PARTITION[table]
-        target = read_or_none(self.spark, path)
-        new = one_per_key(delta, keys) if target is None else insert_ignore(target, delta, keys)
-        (new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts)
-         .write.mode("append").partitionBy(part).parquet(path))
-
-    def _stored(self, table: str, delta: DataFrame) -> DataFrame:
-        """A fact table; while no load has stored a row there is no file to read, and it has the delta's columns."""
-        if read_or_none(self.spark, self.t(table)) is None:
-            return delta.filter(F.lit(False))
-        return self.table(table)
-
-    def _with_open(self, new: DataFrame, table: str, key: str) -> DataFrame:
+        load.write(table, new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts), load.id, part)
+        index.add(load, new)
+
+    def _insert_ignore(self, load: Load, delta: DataFrame, table: str, key: str) -> DataFrame:
+        """A key may come again with another date (a re-issued waybill), so the whole index is probed."""
+        index = KeyIndex(table, [key])
+        new = index.unseen(load, delta).checkpoint()
+        self._append_new(load, new, table, index)
+        return new
+
+    def _with_open(self, load: Load, new: DataFrame, table: str, key: str) -> DataFrame:
         """``new`` and the rows the last batch left open, one per key."""
-        left = read_or_none(self.spark, latest_snapshot(self.spark, self.t(table)))
+        left = load.read(table)
         return new if left is None else one_per_key(new.unionByName(left), [key])
 
-    def load_facts(self, inp: Inputs, wm: _dt.datetime) -> None:
+    def load_facts(self, load: Load, inp: Inputs, wm: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+        """The new fact rides and payments."""
         since = extract.extract_since
         # waybills: the files of this run (selected by file time); repeats are ignored by key
-        fw_delta = facts.build_fact_waybills(inp.waybills, inp.drivers).checkpoint()
-        self._append_new(fw_delta, "fact_waybills", ["waybill_num"])
+        self._insert_ignore(load, facts.build_fact_waybills(inp.waybills, inp.drivers), "fact_waybills", "waybill_num")
 
         # rides: the look-back window plus what earlier batches left open (stored rows: no source is read again)
         rd = since(inp.rides, "dt", wm, LOOKBACK_RIDES_H)
         mv = since(inp.movement, "dt", wm, LOOKBACK_RIDES_H)
-        rd, mv = self._with_open(rd, "open_rides", "ride_id"), self._with_open(mv, "open_events", "movement_id")
-        mv = mv.checkpoint()
-        rd = rd.checkpoint()
+        rd = self._with_open(load, rd, "open_rides", "ride_id").checkpoint()
+        mv = self._with_open(load, mv, "open_events", "movement_id").checkpoint()
+        # the index is probed once, for all rides the batch has heard of
+        index = KeyIndex("fact_rides", ["ride_id"])
+        heard = rd.select("ride_id").unionByName(mv.select(F.col("ride").alias("ride_id")))
+        seen = index.seen(load, heard).checkpoint()
         first_order = rd.agg(F.min("dt")).first()[0]
         # only waybills still open at the earliest order time can contain a ride of the batch
-        waybills = self._stored("fact_waybills", fw_delta)
+        waybills = load.read("fact_waybills")
         if first_order is not None:
             waybills = waybills.filter(F.col("work_end_dt") >= F.lit(first_order))
         # the lookup is computed once; fact rows and quarantine are both read from it
         fr = facts.split_lookup(facts.build_fact_rides(mv, rd, waybills).looked.checkpoint())
-        matched = fr.rides
-        self._append_new(matched, "fact_rides", ["ride_id"])
-        done = self._stored("fact_rides", matched).select("ride_id")
-        write_snapshot(fr.quarantine.join(done, "ride_id", "left_anti"), self.t("quarantine_rides"), self.batch)
+        new_rides = one_per_key(fr.rides, ["ride_id"]).join(seen, "ride_id", "left_anti").checkpoint()
+        self._append_new(load, new_rides, "fact_rides", index)
+        done = seen.unionByName(new_rides.select("ride_id")).checkpoint()
+        load.write("quarantine_rides", fr.quarantine.join(done, "ride_id", "left_anti"), "now")
         # a header without a client's phone never becomes a fact
         closed = done.unionByName(rd.filter(F.col("client_phone").isNull()).select("ride_id"))
-        write_snapshot(rd.join(closed, "ride_id", "left_anti"), self.t("open_rides"), self.batch)
-        write_snapshot(mv.join(closed.withColumnRenamed("ride_id", "ride"), "ride", "left_anti"),
-                       self.t("open_events"), self.batch)
+        load.write("open_rides", rd.join(closed, "ride_id", "left_anti"), "now")
+        load.write("open_events", mv.join(closed.withColumnRenamed("ride_id", "ride"), "ride", "left_anti"), "now")
 
         # payments come from files already selected by modification time (modifiedAfter)
-        pay = facts.build_fact_payments(inp.payments).checkpoint()
-        self._append_new(pay, "fact_payments", ["transaction_id"])
-        self._batch_rides, self._batch_payments = matched, pay
+        pay = self._insert_ignore(load, facts.build_fact_payments(inp.payments), "fact_payments", "transaction_id")
+        return new_rides, pay
 
     # -- dimensions (C12-C15) -----------------------------------------------------------------
-    def _dim(self, table: str, delta: DataFrame, apply) -> None:
-        """Close-and-append on the open versions only.
-
-        Layout: ``<dim>/open/snapshot=N`` holds the open versions after batch N (one per key,
-        rewritten each batch) and ``<dim>/closed/batch=N`` the versions batch N closed
-        (append-only; history is never rewritten). A closed partition counts only when the
-        open snapshot of the same batch has committed, so a failed batch leaves nothing
-        half-visible.
-        """
-        root = self.t(table)
-        cur = read_or_none(self.spark, latest_snapshot(self.spark, f"{root}/open"))
+    def _dim(self, load: Load, table: str, delta: DataFrame, apply) -> None:
+        """Close-and-append on the open versions only: the part ``open`` (one version per key) is replaced, the
+        versions this load closed are a part of their own (history is never rewritten)."""
+        cur = load.read(table, lambda k: k == "open")
         out = apply(cur, delta).checkpoint()        # written twice below: computed once
         is_open = F.col("end_dt") == open_end()
-        (out.filter(~is_open).withColumn("batch", F.lit(self.batch))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch").parquet(f"{root}/closed"))
-        write_snapshot(out.filter(is_open), f"{root}/open", self.batch)
-
-    def dim(self, table: str) -> DataFrame:
-        """Closed versions of committed batches plus the newest open snapshot."""
-        root = self.t(table)
-        snap = latest_snapshot(self.spark, f"{root}/open")
-        opened = self.spark.read.parquet(snap)
-        committed = [int(n.split("=", 1)[1]) for n in _list_dirs(self.spark, f"{root}/open")
-                     if n.startswith("snapshot=") and _exists(self.spark, f"{root}/open/{n}/_SUCCESS")]
-        closed = read_or_none(self.spark, f"{root}/closed")
-        if closed is None:
-            return opened
-        closed = closed.filter(F.col("batch").isin(committed)).drop("batch")
-        return closed.unionByName(opened)
-
-    def load_dims(self, inp: Inputs, wm: _dt.datetime) -> None:
+        load.write(table, out.filter(~is_open), f"closed/{load.id}")
+        load.write(table, out.filter(is_open), "open")
+
+    def load_dims(self, load: Load, inp: Inputs, wm: _dt.datetime) -> DataFrame:
+        """The new client versions."""
         w = ts_lit(wm)
-        self._dim("dim_cars", dims.cars_delta(inp.car_pool, w), lambda cur, d: dims.apply_cars(cur, d))
-        self._dim("dim_drivers", dims.drivers_delta(inp.drivers, w), lambda cur, d: dims.apply_drivers(cur, d))
+        self._dim(load, "dim_cars", dims.cars_delta(inp.car_pool, w), lambda cur, d: dims.apply_cars(cur, d))
+        self._dim(load, "dim_drivers", dims.drivers_delta(inp.drivers, w), lambda cur, d: dims.apply_drivers(cur, d))
         # cards first seen: rides of this batch whose (phone, card) the dimension does not hold, not the whole history
         recent = inp.rides.filter(F.col("dt") > w)
-        if latest_snapshot(self.spark, self.t("dim_clients/open")) is not None:
-            known = self.dim("dim_clients").select(F.col("phone_num").alias("_phone"), F.col("card_num").alias("_card"))
+        known = load.read("dim_clients")
+        if known is not None:
+            known = known.select(F.col("phone_num").alias("_phone"), F.col("card_num").alias("_card"))
             recent = recent.join(known, F.col("client_phone").eqNullSafe(F.col("_phone"))
                                  & F.col("card_num").eqNullSafe(F.col("_card")), "left_anti")
         new_versions = dims.clients_delta(recent).checkpoint()
-        self._dim("dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
-        # phones whose client-history rows this batch can change (a superset is fine)
-        touched = marts.affected_phones(self.dim("dim_clients"), new_versions, self._batch_rides,
-                                        self._batch_payments)
-        touched.withColumn("batch", F.lit(self.batch)).write.mode("append").partitionBy("batch") \
-            .parquet(self.t("touched_phones"))
+        self._dim(load, "dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
+        return new_versions
 
     # -- the two jobs --------------------------------------------------------------------------
     def run_etl(self, inp: Inputs, started_at: _dt.datetime) -> None:
-        """Facts -> dimensions -> ledger. A failure records ``Failure`` and re-raises."""
-        self.batch = int(started_at.strftime("%Y%m%d%H%M%S"))
+        """Facts -> dimensions -> sums -> ledger, published together. A failure records ``Failure`` and re-raises."""
+        load = self.store.begin()
         try:
             wm = self.watermark()
-            self.load_facts(inp, wm)
-            self.load_dims(inp, wm)
+            old_clients = load.read("dim_clients")
+            new_rides, new_payments = self.load_facts(load, inp, wm)
+            new_versions = self.load_dims(load, inp, wm)
+            self.history.add(load, old_clients, load.read("dim_clients"), new_versions, new_rides, new_payments)
+            self._add_to_ledger(load, started_at, STATUS_SUCCESS)
+            load.commit()
         except Exception:
             self.record(started_at, STATUS_FAILURE)
             raise
-        self.record(started_at, STATUS_SUCCESS)
 
     def table(self, name: str, since: _dt.date | None = None, on: _dt.date | None = None) -> DataFrame:
-        """A warehouse table; for facts ``since`` / ``on`` prune date partitions before the
-        partition column is dropped (the plans filter on the timestamps themselves too)."""
-        if name.startswith("dim_"):
-            return self.dim(name)
-        snap = latest_snapshot(self.spark, self.t(name))
-        df = self.spark.read.parquet(snap or self.t(name))
-        if name in FACT_PARTITION:
-            part = FACT_PARTITION[name][0]
-            if since is not None:
-                df = df.filter(F.col(part) >= F.lit(since))
-            if on is not None:
-                df = df.filter(F.col(part) == F.lit(on))
-            df = df.drop(part)
-        return df
-
-    def run_marts(self, report_dt: _dt.date, started_at: _dt.datetime) -> None:
-        """The four reports for ``report_dt``; re-running a day replaces that day."""
-        batch = int(started_at.strftime("%Y%m%d%H%M%S"))
-        fr, fp = self.table("fact_rides"), self.table("fact_payments")
-        fr_day = self.table("fact_rides", on=report_dt)          # rides that ended on the day
-        fw_since = self.table("fact_waybills", since=report_dt)  # shifts from the day on
-        dd, dc = self.table("dim_drivers"), self.table("dim_clients")
-        append_mart(marts.drivers_payments(fr_day, dd, report_dt), self.t("rep_drivers_payments"))
-        prior_path = self.t("rep_drivers_violations")
-        # only earlier days are read (prior_violations filters report_dt < day): the
-        # partition being written is never an input of its own job
-        prior = read_or_none(self.spark, prior_path)
-        append_mart(marts.drivers_violations(fr_day, prior, report_dt), prior_path)
-        append_mart(marts.drivers_overtime(fw_since, report_dt), self.t("rep_drivers_overtime"))
-        append_mart(marts.drivers_overtime_clipped(fw_since, report_dt), self.t("rep_drivers_overtime_clipped"))
-        prev = latest_snapshot(self.spark, self.t("rep_clients_hist"))
-        if prev is None:                                   # first report: every client
-            new = marts.clients_hist(dc, fp, fr)
-        else:                                              # only phones touched since the last report
-            since = int(prev.rsplit("=", 1)[1])
-            touched = read_or_none(self.spark, self.t("touched_phones"))
-            touched = (touched.filter(F.col("batch") > F.lit(since)) if touched is not None
-                       else dc.select("phone_num").limit(0))
-            part = marts.clients_hist(dc, fp, fr, affected=touched)
-            new = upsert(self.spark.read.parquet(prev), part, ["client_id"],
-                         ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt", "deleted_flag"])
-        write_snapshot(new, self.t("rep_clients_hist"), batch)
+        """A committed table; for facts ``since`` / ``on`` pick the parts of those dates (the plans filter on the
+        timestamps themselves too)."""
+        return dated(self.store.read, name, since, on)
+
+    def refuse_after_failure(self) -> None:
+        newest = self.ledger().orderBy(F.col("loaded_until").desc(), F.col("status") == STATUS_SUCCESS).first() \
+            if self.ledger() is not None else None
+        if newest is None or newest.status != STATUS_SUCCESS:
+            raise LoadFailed(f"the newest load did not succeed: {newest}")
+
+    def run_marts(self, report_dt: _dt.date) -> None:
+        """The four reports for ``report_dt``, published together; re-running a day replaces that day. As in the
+        original, where the reports run only after a load that ended well."""
+        self.refuse_after_failure()
+        load, day = self.store.begin(), str(report_dt)
+        rides_of_day = dated(load.read, "fact_rides", on=report_dt)
+        shifts = dated(load.read, "fact_waybills", since=report_dt)   # from the day on
+        load.write("rep_drivers_payments", marts.drivers_payments(rides_of_day, load.read("dim_drivers"), report_dt), day)
+        load.write("rep_drivers_overtime", marts.drivers_overtime(shifts, report_dt), day)
+        load.write("rep_drivers_overtime_clipped", marts.drivers_overtime_clipped(shifts, report_dt), day)
+        self.violations.run(load, lambda a, b: dated(load.read, "fact_rides", a, until=b), report_dt)
+        self.history.report(load)
+        load.commit()
+
+    def daily_run(self, inp: Inputs, started_at: _dt.datetime, report_dt: _dt.date) -> None:
+        """Both jobs: the reports run only if the load succeeded."""
+        self.run_etl(inp, started_at)
+        self.run_marts(report_dt)
+
+
+def dated(read, name: str, since: _dt.date | None = None, on: _dt.date | None = None,
+          until: _dt.date | None = None) -> DataFrame:
+    """A table by ``read`` (of a store or a load), only the parts of some dates; undated parts always."""
+    low, high = str(on or since or ""), str(on or until or "9999-12-31")
+    return read(name, lambda k: k.startswith("null/") or low <= k.split("/")[0] <= high) if on or since or until \
+        else read(name)
 
 
 def default_root(spark: SparkSession) -> str:

@@ -38,7 +38,6 @@ REGISTRY: dict[str, Query] = {}
 
 DAY_US = 24 * 3600 * 1_000_000
 LEDGER_NEXT_RUN = "2024-01-31 00:00:00"
-CLIENTS_HIST_UPDATE_COLS = ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt", "end_dt", "deleted_flag"]
 
 
 def query(name: str):
@@ -207,13 +206,100 @@ def q_insert_ignore(spark, sf):
     return insert_ignore_result(first.fact_rides, delta, ["ride_id"])
 
 
+@query("insert_ignore_indexed")
+def q_insert_ignore_indexed(spark, sf):
+    """The same two loads against the persistent key index: the second one probes it and appends."""
+    from cabwh.operators.key_index import insert_ignore_indexed
+    from cabwh.sources.store import Store
+
+    src, first, full = _two_batches(spark, sf)
+    since = extract.extract_since
+    mv2 = since(src.movement, "dt", BATCH1_UNTIL, LOOKBACK_RIDES_H)
+    rd2 = since(src.rides, "dt", BATCH1_UNTIL, LOOKBACK_RIDES_H)
+    store = Store(spark, scratch_path(spark, "indexed"))
+    for delta in (first.fact_rides, facts.build_fact_rides(mv2, rd2, full.fact_waybills).rides):
+        load = store.begin()
+        insert_ignore_indexed(load, "fact_rides", delta, ["ride_id"])
+        load.commit()
+    return store.read("fact_rides")
+
+
 @query("upsert_update")
 def q_upsert_update(spark, sf):
     """Client history as of the cut, upserted with today's full history."""
     src, first, full = _two_batches(spark, sf)
     old = marts.clients_hist(first.dim_clients, first.fact_payments, first.fact_rides)
     new = marts.clients_hist(full.dim_clients, full.fact_payments, full.fact_rides)
-    return upsert(old, new, ["client_id"], CLIENTS_HIST_UPDATE_COLS)
+    return upsert(old, new, ["client_id"], marts.HISTORY_UPDATE_COLS)
+
+
+@query("upsert_bucketed")
+def q_upsert_bucketed(spark, sf):
+    """The same upsert into a table in hash buckets, of which the second load rewrites those it touches."""
+    from cabwh.operators.buckets import BucketedTable
+    from cabwh.sources.store import Store
+
+    src, first, full = _two_batches(spark, sf)
+    store, table = Store(spark, scratch_path(spark, "bucketed")), BucketedTable("rep_clients_hist", ["client_id"])
+    for wh in (first, full):
+        load = store.begin()
+        rows = marts.clients_hist(wh.dim_clients, wh.fact_payments, wh.fact_rides)
+        table.upsert(load, rows, marts.HISTORY_UPDATE_COLS)
+        load.commit()
+    return store.read("rep_clients_hist")
+
+
+@query("clients_hist_maintained")
+def q_clients_hist_maintained(spark, sf):
+    """History from maintained sums: a first load up to the cut, then a second one that adds its own rows and moves
+    the rides whose client version it closed; only the phones it touched are reported again."""
+    from cabwh.plans.maintained import ClientHistory
+    from cabwh.sources.store import Store
+
+    src, first, full = _two_batches(spark, sf)
+    store, history = Store(spark, scratch_path(spark, "maintained")), ClientHistory()
+    old = None
+    for wh in (first, full):
+        load = store.begin()
+        stored = load.read("fact_rides")
+        rides, payments, versions = wh.fact_rides, wh.fact_payments, wh.dim_clients
+        if old is not None:
+            rides = rides.join(stored.select("ride_id"), "ride_id", "left_anti").select(*rides.columns)
+            payments = payments.join(load.read("fact_payments").select("transaction_id"), "transaction_id", "left_anti")
+            versions = versions.filter(F.col("start_dt") > F.lit(BATCH1_UNTIL).cast("timestamp_ntz"))
+        load.write("fact_rides", rides.withColumn("end_date", F.to_date("ride_end_dt")), load.id, "end_date")
+        load.write("fact_payments", payments, load.id)
+        load.write("dim_clients", wh.dim_clients, "open")
+        history.add(load, old, load.read("dim_clients"), versions.checkpoint(),
+                    load.read("fact_rides", lambda k, mine=load.id: k.endswith(mine)),
+                    load.read("fact_payments", lambda k, mine=load.id: k == mine))
+        history.report(load)
+        load.commit()
+        old = store.read("dim_clients")
+    return store.read("rep_clients_hist")
+
+
+@query("drivers_violations_state")
+def q_drivers_violations_state(spark, sf):
+    """Running counts from day-end snapshots: three runs, then an earlier day again, which runs the days after it too."""
+    from cabwh.plans.maintained import ViolationCounts
+    from cabwh.sources.store import Store
+
+    rides = Warehouse(spark, sf).fact_rides.checkpoint()
+    store, counts = Store(spark, scratch_path(spark, "violations")), ViolationCounts()
+    for day in (9, 19, 31, 12):
+        load = store.begin()
+        counts.run(load, lambda first, last: rides, _dt.date(2024, 1, day))
+        load.commit()
+    return store.read("rep_drivers_violations")
+
+
+@query("daily_run")
+def q_daily_run(spark, sf):
+    """Both jobs on three days, one load failing half-way and repeated: every row of every table, as text."""
+    from cabwh.plans import daily
+
+    return daily.final_tables(daily.run_three_loads(spark, sf, scratch_path(spark, "warehouse")))
 
 
 @query("clients_hist_half_open")
@@ -234,7 +320,7 @@ def q_clients_hist_incremental(spark, sf):
     new_payments = full.fact_payments.filter(F.col("transaction_dt") > cut)
     touched = marts.affected_phones(full.dim_clients, new_versions, new_rides, new_payments)
     part = marts.clients_hist(full.dim_clients, full.fact_payments, full.fact_rides, affected=touched)
-    return upsert(old, part, ["client_id"], CLIENTS_HIST_UPDATE_COLS)
+    return upsert(old, part, ["client_id"], marts.HISTORY_UPDATE_COLS)
 
 
 @query("dedupe_keep_last")

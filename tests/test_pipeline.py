@@ -4,11 +4,11 @@ import datetime as dt
 import tempfile
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cabwh.functions import parse_dayfirst, ts_lit
+from cabwh.functions import ts_lit
 from cabwh.plans import marts
+from cabwh.plans.daily import source_inputs
 from cabwh.plans.pipeline import Inputs, Pipeline
 from cabwh.plans.warehouse import Warehouse
 from cabwh.sources.fixtures import REPORT_DAY, load_sources
@@ -17,30 +17,6 @@ from cabwh.sources.fixtures import REPORT_DAY, load_sources
 BATCHES = [dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 17), dt.datetime(2024, 2, 1)]
 
 
-def _latest(df, key, ts, until):
-    """A source table updated in place: per key the newest row written until ``until``."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).desc())
-    return (df.filter(F.col(ts) <= ts_lit(until)).withColumn("_r", F.row_number().over(w))
-            .filter("_r = 1").drop("_r"))
-
-
-def _inputs(src, prev, until):
-    upto = ts_lit(until)
-    pay_ts = parse_dayfirst("transaction_dt")
-    pay = src.payments.filter(pay_ts <= upto)
-    if prev is not None:
-        pay = pay.filter(pay_ts > ts_lit(prev))        # the files that arrived since the last run
-    return Inputs(
-        rides=src.rides.filter(F.col("dt") <= upto),
-        movement=src.movement.filter(F.col("dt") <= upto),
-        drivers=_latest(src.drivers.unionByName(src.drivers_delta), "driver_license", "update_dt", until),
-        car_pool=_latest(src.car_pool.unionByName(src.car_pool_delta), "plate_num", "update_dt", until),
-        waybills=src.waybills.filter((F.col("issuedt") <= upto)
-                                     & (F.col("issuedt") > ts_lit(prev or dt.datetime(1900, 1, 1)) - F.expr("INTERVAL 12 HOURS"))),
-        payments=pay,
-    )
-
-
 def _rows(df, cols=None):
     rows = [tuple(r) for r in (df.select(*cols) if cols else df).collect()]
     return sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
@@ -52,9 +28,9 @@ def loaded(spark, sf_small):
     p = Pipeline(spark, tempfile.mkdtemp(prefix="cabwh-wh-"))
     prev = None
     for b in BATCHES:
-        p.run_etl(_inputs(src, prev, b), started_at=b)
+        p.run_etl(source_inputs(src, prev, b), started_at=b)
         # the daily reports after every load: the client history is upserted incrementally
-        p.run_marts(REPORT_DAY, started_at=b + dt.timedelta(hours=1))
+        p.run_marts(REPORT_DAY)
         prev = b
     return p, src
 
@@ -80,7 +56,7 @@ def test_dimensions_equal_full_build(spark, sf_small, loaded):
 def test_marts(spark, sf_small, loaded):
     p, _ = loaded
     full = Warehouse(spark, sf_small)
-    got = spark.read.parquet(p.t("rep_drivers_payments"))
+    got = p.table("rep_drivers_payments")
     want = marts.drivers_payments(full.fact_rides, full.dim_drivers, REPORT_DAY)
     assert _rows(got, want.columns) == _rows(want)
     hist = p.table("rep_clients_hist")
@@ -91,11 +67,11 @@ def test_rerun_and_ledger(spark, sf_small, loaded):
     p, src = loaded
     before = {t: _rows(p.table(t)) for t in ("fact_rides", "fact_payments", "dim_drivers", "dim_clients")}
     again = dt.datetime(2024, 2, 2)
-    p.run_etl(_inputs(src, BATCHES[-1], again), started_at=again)          # nothing new arrived
-    p.run_marts(REPORT_DAY, started_at=again + dt.timedelta(hours=1))       # same day again: replaced
+    p.run_etl(source_inputs(src, BATCHES[-1], again), started_at=again)          # nothing new arrived
+    p.run_marts(REPORT_DAY)       # same day again: replaced
     for t, rows in before.items():
         assert _rows(p.table(t)) == rows, t
-    assert spark.read.parquet(p.t("rep_drivers_payments")).count() == \
+    assert p.table("rep_drivers_payments").count() == \
         marts.drivers_payments(Warehouse(spark, sf_small).fact_rides,
                                Warehouse(spark, sf_small).dim_drivers, REPORT_DAY).count()
     assert p.watermark() == again
