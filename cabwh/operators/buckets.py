@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cabwh.operators.writes import upsert
 from cabwh.sources.store import Load
 
-BUCKETS = 256
+BUCKETS = 128
 _COLUMN = "_bucket"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -56,9 +56,10 @@ class BucketedTable:
         wanted = self.touched(load, delta)
         old = load.read(self.name, lambda k: k in set(wanted))
         new = delta if old is None else how(old, delta)
-        bucket = self.bucket(load)
-        load.replace(self.name, new.withColumn(_COLUMN, bucket).repartition(_COLUMN).sortWithinPartitions(
-            _COLUMN, *self.keys), _COLUMN, wanted)
+        # a given number of partitions: left to itself, a small batch would write all bucket files in one task
+        tasks = int(load.store.spark.conf.get("spark.sql.shuffle.partitions"))
+        load.replace(self.name, new.withColumn(_COLUMN, self.bucket(load)).repartition(tasks, _COLUMN)
+                     .sortWithinPartitions(_COLUMN, *self.keys), _COLUMN, wanted)
         return delta
 
     def upsert(self, load: Load, delta: DataFrame, update_cols: Sequence[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def losing_a_source(inp: Inputs) -> Inputs:
 
 
 def run_three_loads(spark: SparkSession, sf_dir: str, root: str) -> Pipeline:
-    src, pipeline, since = load_sources(spark, sf_dir), Pipeline(spark, root), None
+    src, pipeline, since = load_sources(spark, sf_dir), Pipeline(spark, root, buckets=32), None
     for at, report_day in RUNS:
         if at > FAILED_RUN > (since or at):
             try:

@@ -13,7 +13,8 @@ reports of a day are one commit as well.
 * ``rep_*``               reports, a part per day: a day that is run again is replaced
 * ``rep_drivers_violations_state``  each driver's number of violations at the end of a day, a part per day
 * ``rep_clients_hist``    the client history in hash buckets by client; only touched buckets are written
-* ``work_batchdate``      the batch ledger
+* ``work_batchdate``      the batch ledger; ``work_counts`` rows read and rejected by run and drop
+* ``rejected_rows``       rows of the drops that do not parse, with the reason
 * ``quarantine_rides``    finished rides without a matching waybill
 * ``open_rides``, ``open_events``  headers and events of rides that are no facts yet (not finished, no header, no
   waybill): the next batch starts from them, so a ride that outlasts the look-back is not lost
@@ -27,9 +28,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +46,8 @@ from cabwh.operators.scd2 import open_end
 from cabwh.operators.writes import one_per_key
 from cabwh.plans import dims, facts, marts
 from cabwh.plans.maintained import ClientHistory, ViolationCounts
-from cabwh.session import ensure_checkpoint_dir
-from cabwh.sources import extract
+from cabwh.session import ensure_checkpoint_dir, scratch_path
+from cabwh.sources import extract, rejects
 from cabwh.sources.store import Load, Store
 
 
@@ -58,27 +58,6 @@ def append_mart(df: DataFrame, path: str, partition_col: str = "report_dt") -> N
      .partitionBy(partition_col).parquet(path))
 
 
-# --- storage helpers ------------------------------------------------------------------------
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The table at ``path``, or None when it does not exist or holds no rows yet (a job that
-    wrote zero rows leaves only ``_SUCCESS``, and there is no schema to read)."""
-    if path is None or not _exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
 # fact table -> (partition column, timestamp it is the date of)
 FACT_PARTITION = {
     "fact_rides": ("end_date", "ride_end_dt"),
@@ -98,6 +77,8 @@ class Inputs:
     car_pool: DataFrame
     waybills: DataFrame         # flat waybills of the files that arrived since the last run
     payments: DataFrame         # raw payment rows of the files that arrived since the last run
+    #: checked rows of the drops ("waybills", "payments"), which replace the two frames above once they are accounted for
+    checked: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def read(cls, spark: SparkSession, source: str, waybill_dir: str, payment_dir: str,
@@ -105,17 +86,21 @@ class Inputs:
         """Source tables from ``source`` (a ``jdbc:`` URL or a Parquet folder) and the drops:
         waybill files changed after watermark - 12 h, payment files after the watermark
         (a wall-clock time of ``zone``)."""
-        from cabwh.sources.files import read_payments, read_waybills
         from cabwh.sources.relational import read_source
 
-        def table(name):
-            return read_source(spark, source, name, properties=properties)
+        def table(name, split_column=None):
+            # the split is planned for the increment; the watermark itself is applied (and pushed) by the load
+            return read_source(spark, source, name, properties=properties, split_column=split_column,
+                               **({"since_col": "dt", "since": watermark, "lookback_hours": LOOKBACK_RIDES_H}
+                                  if split_column else {}))
 
+        waybills = rejects.check_waybills(rejects.read_waybill_documents(
+            spark, waybill_dir, watermark - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H), zone))
+        payments = rejects.check_payments(rejects.read_payment_text(spark, payment_dir, watermark, zone))
         return cls(
-            rides=table("rides"), movement=table("movement"), drivers=table("drivers"), car_pool=table("car_pool"),
-            waybills=read_waybills(spark, waybill_dir, since=watermark - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H),
-                                   zone=zone),
-            payments=read_payments(spark, payment_dir, since=watermark, zone=zone),
+            rides=table("rides", "ride_id"), movement=table("movement", "movement_id"), drivers=table("drivers"),
+            car_pool=table("car_pool"), waybills=rejects.good_rows(waybills), payments=rejects.good_rows(payments),
+            checked={"waybills": waybills, "payments": payments},
         )
 
 
@@ -149,6 +134,23 @@ class Pipeline:
         self._add_to_ledger(load, started_at, status)
         load.commit()
 
+    def _account(self, load: Load, inp: Inputs, started_at: _dt.datetime) -> Inputs:
+        """Set rows of the drops aside that do not parse, and count them: (loaded_until, source, rows_read,
+        rows_rejected) of each run. The drops are read here, once."""
+        good, counts = {}, []
+        for source, rows in inp.checked.items():
+            rows, seen = rejects.counted(rows, source)
+            path = scratch_path(self.spark, f"checked-{source}")
+            rows.write.parquet(path)
+            rows = self.spark.read.schema(rows.schema).parquet(path)
+            load.write("rejected_rows", rejects.rejected_rows(rows, source), f"{load.id}/{source}")
+            good[source] = rejects.good_rows(rows)
+            counts.append((started_at, source, seen.get["rows_read"], seen.get["rows_rejected"]))
+        if counts:
+            load.write("work_counts", self.spark.createDataFrame(
+                counts, "loaded_until timestamp_ntz, source string, rows_read bigint, rows_rejected bigint").coalesce(1), load.id)
+        return replace(inp, **good)
+
     # -- facts --------------------------------------------------------------------------------
     def _append_new(self, load: Load, new: DataFrame, table: str, index: KeyIndex) -> None:
         """Append rows whose keys the table does not hold (one per key), in parts by date, and their keys."""
@@ -235,6 +237,7 @@ class Pipeline:
         load = self.store.begin()
         try:
             wm = self.watermark()
+            inp = self._account(load, inp, started_at)
             old_clients = load.read("dim_clients")
             new_rides, new_payments = self.load_facts(load, inp, wm)
             new_versions = self.load_dims(load, inp, wm)

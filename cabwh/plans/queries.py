@@ -233,6 +233,17 @@ def q_upsert_update(spark, sf):
     return upsert(old, new, ["client_id"], marts.HISTORY_UPDATE_COLS)
 
 
+@query("rejected_rows")
+def q_rejected_rows(spark, sf):
+    """A payment file with damaged lines: those that do not parse, with the reason and the line as it came."""
+    from cabwh.sources import rejects
+    from cabwh.sources.fixtures import damaged_payment_lines
+
+    path = scratch_path(spark, "damaged-payments")
+    damaged_payment_lines(load_sources(spark, sf).payments).write.text(path)
+    return rejects.rejected_rows(rejects.check_payments(rejects.read_payment_text(spark, path, glob="*.txt")), "payments")
+
+
 @query("upsert_bucketed")
 def q_upsert_bucketed(spark, sf):
     """The same upsert into a table in hash buckets, of which the second load rewrites those it touches."""

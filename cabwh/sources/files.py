@@ -53,8 +53,8 @@ def read_waybills_raw(spark: SparkSession, path: str, since=None, zone: str = "U
             .xml(path))
 
 
-def flatten_waybills(raw: DataFrame) -> DataFrame:
-    """The nine scalars of a waybill (attributes, driver/*, period/*), times parsed."""
+def flatten_waybills(raw: DataFrame, *more) -> DataFrame:
+    """The nine scalars of a waybill (attributes, driver/*, period/*), times parsed, and ``more`` columns of ``raw``."""
     return raw.select(
         F.col("_number").alias("number"),
         parse_dayfirst(F.col("_issuedt")).alias("issuedt"),
@@ -65,6 +65,7 @@ def flatten_waybills(raw: DataFrame) -> DataFrame:
         F.to_date(parse_dayfirst(F.concat(F.col("driver.validto"), F.lit(" 00:00:00")))).alias("validto"),
         parse_dayfirst(F.col("period.start")).alias("start"),
         parse_dayfirst(F.col("period.stop")).alias("stop"),
+        *more,
     )
 
 

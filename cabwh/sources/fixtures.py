@@ -183,6 +183,17 @@ def payments(spark: SparkSession, sf_dir: str, n: int, mv: DataFrame | None = No
     )
 
 
+def damaged_payment_lines(payments: DataFrame) -> DataFrame:
+    """Lines of a payment file, some of them damaged by the amount's whole part modulo 50: 7 an impossible date, 17 no
+    date, 8 no card, 9 no number, 10 a line without its last field."""
+    m = F.col("transaction_amt").cast("bigint") % 50
+    when = lambda k, text, c: F.when(m == k, F.lit(text)).otherwise(c)
+    date = when(7, "99.99.2024 00:00:00", when(17, "", F.col("transaction_dt")))
+    card, amount = when(8, "", F.col("card_num")), when(9, "12,x", F.col("transaction_amt").cast("string"))
+    line = F.when(m == 10, F.concat_ws("\t", date, card)).otherwise(F.concat_ws("\t", date, card, amount))
+    return payments.select(line.alias("value"))
+
+
 def car_pool(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     s = F.col("s_suppkey")
     upd = day_offset(s % 10)

@@ -19,13 +19,15 @@ def test_parity_keeps_the_ends_a_delta_brings(spark):
 
 
 def test_first_stream_batch_stores_a_key_once(spark, tmp_path):
+    from cabwh.sources.store import Store
     from cabwh.streaming.intake import _appender
 
-    run = _appender(spark, str(tmp_path / "t"), ["k"], lambda b: b)
+    store = Store(spark, str(tmp_path / "w"))
+    run = _appender(store, "t", ["k"], lambda b: b)
     batch = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "k int, v int")
     run(batch, 0)
     run(batch, 1)
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect())) == [(1, 5), (2, 6)]
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, 5), (2, 6)]
 
 
 def test_a_ride_that_outlasts_the_look_back_is_stored(spark, tmp_path):
