@@ -31,6 +31,8 @@ FUEL_PRICE = Decimal("47.26")             # per litre
 FUEL_PER_100KM = Decimal("7")             # litres per 100 km
 DEPRECIATION_PER_KM = Decimal("5")        # per km
 
+OPEN_RIDE_DAYS = 60                       # a ride that is no fact after so many days is set aside
+
 # --- fixed values: report limits ----------------------------------------------
 SPEED_LIMIT_KMH = Decimal("85")           # a ride faster than this is a violation
 OVERTIME_LIMIT_S = 8 * 3600               # more than 8 h of work ...

@@ -107,12 +107,20 @@ def versions_from_history(history: DataFrame, key: str, attr: str, ts: str, wate
     As in the original load the LEAD runs after the watermark filter (it sees only the
     new pairs); closing the previously open version is the job of :func:`scd2_apply`.
     A pair seen again later (A -> B -> A) does not start a new version.
+
+    Rows without a key are one chain, as in SQL, but not one task: they are ordered day by day, and a day's last row
+    ends where the next day that has rows begins.
     """
     first = history.groupBy(key, attr).agg(F.min(ts).alias(start))
     if watermark is not None:
         first = first.filter(F.col(start) > watermark)
-    w = Window.partitionBy(key).orderBy(start)
-    nxt = F.coalesce(F.lead(start).over(w), ts_lit(LEAD_DEFAULT))
+    day = F.when(F.col(key).isNull(), F.to_date(start))
+    first = first.withColumn("_day", day)
+    days = (first.filter(F.col(key).isNull()).groupBy("_day").agg(F.min(start).alias("_first"))
+            .select("_day", F.lead("_first").over(Window.orderBy("_day")).alias("_next_day")))   # one row per day
+    first = first.join(F.broadcast(days), "_day", "left")     # as many rows as there are days
+    w = Window.partitionBy(key, "_day").orderBy(start)
+    nxt = F.coalesce(F.lead(start).over(w), F.col("_next_day"), ts_lit(LEAD_DEFAULT))
     return first.select(
         F.col(key).alias(key_out or key),
         F.col(start),

@@ -19,15 +19,18 @@ _HOUR_US = 3600 * 1_000_000
 def running_index(df: DataFrame, key: str, chunk: str, order: str, out: str) -> DataFrame:
     """``row_number() OVER (PARTITION BY key ORDER BY chunk, order) - 1`` computed per (key, chunk).
 
-    offset(key, chunk) = number of rows of the key in earlier chunks (a window over the
-    per-chunk counts, one row per (key, chunk)); the local number comes from a window over
-    (key, chunk). The join back is on (key, chunk), the partitioning the local window
-    already has.
+    A window over (key, chunk) gives the local number. A chunk's last row tells how many rows it has; the offset of
+    (key, chunk) is their sum over the key's earlier chunks (one row per chunk), joined back on (key, chunk), the
+    partitioning the local window has already. The last row is taken whole, so that both sides of that join need the
+    same columns of the input and share one shuffle of it: the input is evaluated once. Rows without key or chunk vanish.
     """
-    counts = df.groupBy(key, chunk).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, chunk, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # said here, or the join would say it of one side only
+    df = df.filter(F.col(key).isNotNull() & F.col(chunk).isNotNull())
     local = df.withColumn("_i", F.row_number().over(Window.partitionBy(key, chunk).orderBy(order)) - 1)
+    rest = [c for c in df.columns if c not in (key, chunk)]
+    last = local.groupBy(key, chunk).agg(F.max(F.struct("_i", *rest)).alias("_last"))
+    before = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = last.select(key, chunk, F.coalesce(F.sum(F.col("_last._i") + 1).over(before), F.lit(0)).alias("_off"))
     return (local.join(offsets, [key, chunk], "inner")
             .withColumn(out, (F.col("_i") + F.col("_off")).cast("bigint")).drop("_i", "_off"))
 

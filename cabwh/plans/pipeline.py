@@ -17,7 +17,8 @@ reports of a day are one commit as well.
 * ``rejected_rows``       rows of the drops that do not parse, with the reason
 * ``quarantine_rides``    finished rides without a matching waybill
 * ``open_rides``, ``open_events``  headers and events of rides that are no facts yet (not finished, no header, no
-  waybill): the next batch starts from them, so a ride that outlasts the look-back is not lost
+  waybill): the next batch starts from them, so a ride that outlasts the look-back is not lost; after
+  ``OPEN_RIDE_DAYS`` they move to ``expired_open_rides`` and ``expired_open_events``
 * ``touched_phones``      phones that loads touched since the last history report; it recomputes only those
 
 Each write is one Spark job; a lost executor only re-runs its tasks from the deterministic inputs, and the deltas
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from cabwh.constants import (
     LOOKBACK_RIDES_H,
     LOOKBACK_WAYBILLS_H,
+    OPEN_RIDE_DAYS,
     STATUS_FAILURE,
     STATUS_SUCCESS,
 )
@@ -147,8 +149,7 @@ class Pipeline:
             good[source] = rejects.good_rows(rows)
             counts.append((started_at, source, seen.get["rows_read"], seen.get["rows_rejected"]))
         if counts:
-            load.write("work_counts", self.spark.createDataFrame(
-                counts, "loaded_until timestamp_ntz, source string, rows_read bigint, rows_rejected bigint").coalesce(1), load.id)
+            self._count(load, counts, "drops")
         return replace(inp, **good)
 
     # -- facts --------------------------------------------------------------------------------
@@ -170,7 +171,25 @@ class Pipeline:
         left = load.read(table)
         return new if left is None else one_per_key(new.unionByName(left), [key])
 
-    def load_facts(self, load: Load, inp: Inputs, wm: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+    def _keep_open(self, load: Load, table: str, rows: DataFrame, started_at: _dt.datetime) -> None:
+        """Rows the next batch starts from; those older than ``OPEN_RIDE_DAYS`` are set aside in ``expired_<table>`` and
+        counted, so that what stays open does not grow for good."""
+        rows = rows.checkpoint()
+        old = F.col("dt") < ts_lit(started_at - _dt.timedelta(days=OPEN_RIDE_DAYS))
+        load.write(table, rows.filter(~F.coalesce(old, F.lit(False))), "now")
+        expired = rows.filter(old)
+        n = expired.count()
+        if n:
+            load.write(f"expired_{table}", expired, load.id)
+            self._count(load, [(started_at, table, rows.count(), n)], table)
+
+    def _count(self, load: Load, counts: list[tuple], key: str) -> None:
+        load.write("work_counts", self.spark.createDataFrame(
+            counts, "loaded_until timestamp_ntz, source string, rows_read bigint, rows_rejected bigint").coalesce(1),
+            f"{load.id}/{key}")
+
+    def load_facts(self, load: Load, inp: Inputs, wm: _dt.datetime,
+                   started_at: _dt.datetime) -> tuple[DataFrame, DataFrame]:
         """The new fact rides and payments."""
         since = extract.extract_since
         # waybills: the files of this run (selected by file time); repeats are ignored by key
@@ -198,8 +217,9 @@ class Pipeline:
         load.write("quarantine_rides", fr.quarantine.join(done, "ride_id", "left_anti"), "now")
         # a header without a client's phone never becomes a fact
         closed = done.unionByName(rd.filter(F.col("client_phone").isNull()).select("ride_id"))
-        load.write("open_rides", rd.join(closed, "ride_id", "left_anti"), "now")
-        load.write("open_events", mv.join(closed.withColumnRenamed("ride_id", "ride"), "ride", "left_anti"), "now")
+        self._keep_open(load, "open_rides", rd.join(closed, "ride_id", "left_anti"), started_at)
+        self._keep_open(load, "open_events", mv.join(closed.withColumnRenamed("ride_id", "ride"), "ride", "left_anti"),
+                        started_at)
 
         # payments come from files already selected by modification time (modifiedAfter)
         pay = self._insert_ignore(load, facts.build_fact_payments(inp.payments), "fact_payments", "transaction_id")
@@ -239,7 +259,7 @@ class Pipeline:
             wm = self.watermark()
             inp = self._account(load, inp, started_at)
             old_clients = load.read("dim_clients")
-            new_rides, new_payments = self.load_facts(load, inp, wm)
+            new_rides, new_payments = self.load_facts(load, inp, wm, started_at)
             new_versions = self.load_dims(load, inp, wm)
             self.history.add(load, old_clients, load.read("dim_clients"), new_versions, new_rides, new_payments)
             self._add_to_ledger(load, started_at, STATUS_SUCCESS)

@@ -59,8 +59,15 @@ def test_a_ride_that_outlasts_the_look_back_is_stored(spark, tmp_path):
         p.run_etl(Inputs(headers, seen, drivers, cars, bills, pay), at)
         if at.hour == 14:
             assert [r.ride_id for r in p.table("fact_rides").collect()] == [1]
+    # nothing stays open for good: after OPEN_RIDE_DAYS the ride is set aside and counted
+    p.run_etl(Inputs(rides.limit(0), seen.limit(0), drivers, cars, bills, pay), dt.datetime(2024, 3, 1))
+    assert p.table("open_rides").count() == 1
+    p.run_etl(Inputs(rides.limit(0), seen.limit(0), drivers, cars, bills, pay), dt.datetime(2024, 5, 1))
+    assert p.table("open_rides").count() == 0 and [r.ride_id for r in p.table("expired_open_rides").collect()] == [2]
+    assert {(r.source, r.rows_read, r.rows_rejected) for r in p.table("work_counts").collect()} >= {("open_rides", 1, 1)}
+    return_to = p.store.read("quarantine_rides", version=3)
     # the header of ride 2 came last, with an order time no waybill covers: it is in quarantine, not lost
-    assert [r.ride_id for r in p.table("quarantine_rides").collect()] == [2]
+    assert [r.ride_id for r in return_to.collect()] == [2]
     assert p.table("fact_rides").count() == 1
 
 

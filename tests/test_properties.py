@@ -204,3 +204,29 @@ def test_pivot_equals_spark_pivot(spark, sf_small):
     a = sorted(map(tuple, pivot_events(mv, "ride", "event", "dt", mapping).collect()), key=str)
     b = sorted(map(tuple, pivot_events_grouped(mv, "ride", "event", "dt", mapping).collect()), key=str)
     assert a == b and len(a) == 1500 and all(r[-1] is None for r in a)
+
+
+def test_running_index_reads_its_input_once(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 7 as k", "id % 13 as d", "id", "id * 2 as v").write.parquet(str(tmp_path / "t"))
+    out = running_index(spark.read.parquet(str(tmp_path / "t")).filter("v < 9000"), "k", "d", "id", "n")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
+def test_versions_without_a_key_are_one_chain_in_many_tasks(spark):
+    from cabwh.operators.scd2 import versions_from_history
+
+    rnd = random.Random(8)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 3 == 0 else f"p{i % 5}", f"c{rnd.randint(0, 300)}", t0 + dt.timedelta(seconds=i * 9973)) for i in range(900)]
+    df = spark.createDataFrame(rows, "phone string, card string, dt timestamp_ntz")
+    first = {}
+    for p, c, t in rows:
+        first[p, c] = min(t, first.get((p, c), t))
+    want = set()
+    for (p, c), t in first.items():
+        later = [x for (q, _), x in first.items() if q == p and x > t]
+        want.add((p, t, c, min(later) - dt.timedelta(seconds=1) if later else dt.datetime(9999, 1, 1)))
+    got = versions_from_history(df, "phone", "card", "dt")
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
