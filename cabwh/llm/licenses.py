@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +112,10 @@ def fuzzy_spans(body: str) -> list[tuple[str, int, int, int]]:
     return sorted(set(spans))
 
 
+def _blanks(text: bytes, unit: type = np.uint8) -> np.ndarray:
+    return np.flatnonzero(np.frombuffer(text, dtype=unit) == 32)
+
+
 def scan_text(text: bytes) -> dict:
     """Word count, places of the base phrases, fuzzy spans and labels of one whole text."""
     words = text.translate(_WORD).split()
@@ -120,12 +125,20 @@ def scan_text(text: bytes) -> dict:
         needle = f" {phrase} ".encode()
         at = padded.find(needle)
         while at >= 0:
-            starts.append(padded.count(b" ", 0, at))
+            starts.append(at)
             base.add(label)
             at = padded.find(needle, at + 1)
+    # a place's word is the number of blanks before it; they are looked for once, however many places there are
+    starts = np.searchsorted(_blanks(padded), starts).tolist() if starts else []
     body = padded.decode("utf-8", "replace")
-    spans = [{"label": label, "first_word": body.count(" ", 0, a) - 1, "n_words": body.count(" ", a, b) + 1,
-              "edits": edits, "share": 1 - edits / (b - a)} for label, a, b, edits in fuzzy_spans(body)]
+    found = fuzzy_spans(body)
+    if found:
+        blanks = _blanks(body.encode("utf-32-le"), np.uint32)
+        first, after = (np.searchsorted(blanks, [f[side] for f in found]).tolist() for side in (1, 2))
+    else:
+        first = after = []
+    spans = [{"label": label, "first_word": n - 1, "n_words": m - n + 1, "edits": edits, "share": 1 - edits / (b - a)}
+             for (label, a, b, edits), n, m in zip(found, first, after, strict=True)]
     return {"n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None),
             "last_word": max(starts, default=None), "base_labels": sorted(base),
             "labels": sorted(base | {s["label"] for s in spans}),
