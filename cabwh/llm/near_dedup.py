@@ -8,9 +8,11 @@
    confirmed ones are merged into components. A bucket whose members are all in one component is done. Otherwise
    its centre has now met everybody and leaves. So does every member that cannot be linked with any other one left:
    shingles that no other one has are missing in each intersection, which bounds the similarity from above. The
-   rest chooses new centres, 4 times as many each round. Members and a centre that share many buckets meet in one
-   of them only. So no two members that are still apart and could be
-   linked stay uncompared, while a group around one original costs one edge a member.
+   rest chooses new centres, ``CENTRES`` times as many each round: what the first centre did not link is mostly
+   linked by none, which has to be shown member by member. Nearly all of these pairs are ruled out without their sets:
+   each set's shared shingles are counted on ``PLACES`` places, and two sets share no more than the lesser count of each
+   place. So no two members that are still apart and could be linked stay uncompared, while a group around one original
+   costs one edge a member.
 
 There are as many bands as it takes for two documents at the wanted similarity to share no bucket with a
 probability below ``MISS`` (28 at 0.85, 41 at 0.8).
@@ -50,6 +52,10 @@ WIDTH = 5
 ROWS = 5
 MISS = 1e-7
 PERCENT = 80
+#: Centres of a bucket: 1 in the first round, then so many times as many in each further one.
+CENTRES = 64
+#: A set's shingles are counted by this many places (by hash) to bound what two sets share.
+PLACES = 64
 
 
 def bands_for(percent: int) -> int:
@@ -189,27 +195,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     live = members.join(candidates.select("row", "weight"), "row").select("key", "row", "n", "weight")
     tested, round_no = None, 0
     while True:
-        state = _mixed(live.join(labels, "row"))
         if round_no:
-            state = written(state, "star-candidates")
+            state = written(_mixed(live.join(labels, "row")), "star-candidates")
             state = _mixed(_linkable(state, sets, percent))
-        else:
-            state = state.withColumn("common", F.col("n"))
+        else:                                            # each member is a component of its own
+            state = live.withColumns({"comp": F.col("row"), "common": F.col("n"),
+                                      "places": F.lit(None).cast("array<int>")})
         state = written(state, "star-round")
         if state.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(4 ** min(round_no, 15)))
+        slot = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(CENTRES ** min(round_no, 10)))
         centres = state.groupBy("key", slot.alias("slot")).agg(F.max(F.struct(
-            "weight", (-F.col("row")).alias("minus"), "row", "n", "common", "comp")).alias("c"))
+            "weight", (-F.col("row")).alias("minus"), "row", "n", "common", "comp", "places")).alias("c"))
         centres = written(centres.select("key", F.col("c.row").alias("c_row"), F.col("c.n").alias("c_n"),
-                                         F.col("c.common").alias("c_common"), F.col("c.comp").alias("c_comp")), "centres")
-        # keys: the buckets of a row, at most one a band; a pair is made in the first bucket where the centre meets the row
-        of_row = state.groupBy("row").agg(F.collect_list("key").alias("keys"))
-        of_centre = centres.groupBy("c_row").agg(F.collect_list("key").alias("c_keys"))
-        pairs = (state.join(of_row, "row").join(centres.join(of_centre, "c_row"), "key").filter("comp <> c_comp")
-                 .filter((100 + percent) * F.least("common", "c_common") >= percent * (F.col("n") + F.col("c_n")))
-                 .filter(F.array_min(F.array_intersect("keys", "c_keys")) == F.col("key"))
-                 .select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct())
+                                         F.col("c.common").alias("c_common"), F.col("c.comp").alias("c_comp"),
+                                         F.col("c.places").alias("c_places")), "centres")
+        met = state.join(centres, "key").filter("comp <> c_comp").filter(
+            (100 + percent) * F.least("common", "c_common") >= percent * (F.col("n") + F.col("c_n")))
+        if round_no:
+            # what two sets share on a place is no more than either has there
+            most = F.aggregate(F.zip_with("places", "c_places", lambda x, y: F.least(x, y)),
+                               F.lit(0).cast("long"), lambda x, y: x + y)
+            met = met.filter((100 + percent) * most >= percent * (F.col("n") + F.col("c_n")))
+        pairs = met.select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -217,7 +225,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         if not links.isEmpty():
             labels = _relabel(labels, links)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        live = state.join(centres.select("key", F.col("c_row").alias("row")), ["key", "row"], "left_anti").drop("comp", "common")
+        live = state.join(centres.select("key", F.col("c_row").alias("row")), ["key", "row"], "left_anti").drop(
+            "comp", "common", "places")
         round_no += 1
 
     named = classes.select("digest", "salts", F.col("first_id.row").alias("row"), F.col("first_id.id").alias("first"))
@@ -238,22 +247,41 @@ def _mixed(state: DataFrame) -> DataFrame:
 
 
 def _linkable(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members that can still be linked with another one of their bucket, with ``common``.
+    """The members that can still be linked with another one of their bucket, with ``common`` and ``places``.
 
     ``common``: shingles that some other member of ``state`` has too. An intersection is no larger, and with set
     sizes n and m it must reach percent * (n + m) / (100 + percent); m is at least the bucket's least size, and
-    at least percent / 100 of n.
+    at least percent / 100 of n. ``places``: how many of these shingles fall on each of ``PLACES`` places.
     """
-    rows = sets.join(state.select("row").distinct(), "row", "left_semi")
+    rows = sets.join(state.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
     alone = (rows.select("row", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("c")).filter("c = 1")
-             .groupBy("row").agg(F.count(F.lit(1)).alias("alone")))
+             .groupBy("row").agg(F.collect_list("shingle").alias("alone")))       # no more than the row's own set
+    shared = rows.join(alone, "row", "left").select("row", "shingles", "alone").mapInArrow(
+        _places, "row bigint, common bigint, places array<int>")
     least = state.groupBy("key").agg(F.min("n").alias("least"))
-    return (state.join(alone, "row", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
-            .join(least, "key")
+    return (state.join(shared, "row").join(least, "key")
             .filter((100 + percent) * F.col("common")
                     >= percent * (F.col("n") + F.greatest("least", F.col("n") * percent / 100)))
-            .drop("alone", "least"))
+            .drop("least"))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        common, places = [], []
+        for own, alone in zip(batch.column(1), batch.column(2), strict=True):
+            n = np.zeros(PLACES, dtype=np.int64)
+            for sign, part in ((1, own.values), (-1, alone.values)):
+                if part is not None:
+                    s = part.to_numpy(zero_copy_only=False).view(np.uint64)
+                    n += sign * np.bincount((s % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+            common.append(int(n.sum()))
+            places.append(n.astype(np.int32))
+        flat = np.concatenate(places) if places else np.zeros(0, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(common, pa.int64()),
+             pa.ListArray.from_arrays(np.arange(len(places) + 1, dtype=np.int32) * PLACES, pa.array(flat))],
+            ["row", "common", "places"])
 
 
 def _sets_of(docs: DataFrame, candidates: DataFrame, id_col: str, text_col: str) -> DataFrame:

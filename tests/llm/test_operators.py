@@ -58,6 +58,59 @@ def test_near_duplicates_equal_brute_force(spark, rows):
     assert sorted(map(tuple, got), key=str) == want
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_bucket(percent):
+    """Pairs exactly at the wanted similarity, of many sizes: none may miss each other."""
+    rng = np.random.default_rng(percent)
+    bands = near_dedup.bands_for(percent)
+    for size in (6, 10, 20, 50, 200, 1000):
+        for _ in range(120):
+            union = rng.integers(0, 2**64, size, dtype=np.uint64)
+            both = -(-percent * size // 100)
+            alone = size - both
+            a = np.unique(union[:both + alone // 2])
+            b = np.unique(np.concatenate([union[:both], union[both + alone // 2:]]))
+            assert 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+            assert len(np.intersect1d(near_dedup.band_keys(a, bands), near_dedup.band_keys(b, bands))), size
+
+
+def linked_ids(rows, percent):
+    """The smallest id of each document's class, by comparing all pairs."""
+    sets = sets_of([t for _, t in rows])
+    own = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]) and own[a] != own[b]:
+                own = [min(own[a], own[b]) if x in (own[a], own[b]) else x for x in own]
+    lowest = {}
+    for (i, _), c in zip(rows, own):
+        lowest[c] = min(i, lowest.get(c, i))
+    return [lowest[c] for c in own]
+
+
+def test_a_large_group_of_near_copies_loses_no_link(spark):
+    """Copies of one text with 0 to 30 words changed, alike in pairs: many are linked only to another copy, or to none."""
+    rng = random.Random(77)
+    word = lambda: "w%d" % rng.randint(0, 9999)
+    base = [word() for _ in range(150)]
+    rows = []
+    for _ in range(110):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 8, 10, 30])):
+            words[rng.randrange(150)] = word()
+        for _ in range(2):
+            again = list(words)
+            for _ in range(rng.randint(0, 2)):
+                again[rng.randrange(150)] = word()
+            rows.append((len(rows), " ".join(again)))
+    for percent in (80, 85):
+        got = {r.id: r.component_id for r in near_dedup.near_duplicates(docs_of(spark, rows), percent).collect()}
+        want = linked_ids(rows, percent)
+        assert [got[i] for i, _ in rows] == want
+        assert 10 < len(set(want)) < 180
+
+
 def test_suffix_dedup_equals_brute_force(spark, rows):
     unique = {i: (t or "").encode() for i, t in rows if i is not None}
     got = suffix_dedup.remove_repeats(docs_of(spark, [(i, t) for i, t in rows if i in unique and not (i == 5 and t is None)])
@@ -256,6 +309,57 @@ def test_license_notices():
     assert found("")["score"] == 0 and found("the licence of a poet")["labels"] == []
 
 
+def test_licenses_equal_plain_loops():
+    rng = random.Random(12)
+    vocabulary = ["under", "the", "mit", "license", "apache", "version", "2", "cc", "by", "nc", "x", "ü"]
+    for _ in range(200):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 300))]
+        text = "".join(w + rng.choice([" ", "-", ", ", "\n"]) for w in words)
+        places = [(k, label) for phrase, label in licenses.BASE_PHRASES.items() for k in range(len(words))
+                  if words[k:k + len(phrase.split())] == phrase.split()]
+        got = licenses.scan_text(text.upper().replace("Ü", "ü").encode())
+        assert (got["n_words"], got["n_base"]) == (len(words), len(places))
+        assert got["first_word"] == min((k for k, _ in places), default=None)
+        assert got["last_word"] == max((k for k, _ in places), default=None)
+        assert got["base_labels"] == sorted({label for _, label in places})
+
+    def edits(a, b):                                     # the least edits, by the full table
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    for notice, tail, label in licenses.NOTICES:
+        for _ in range(20):
+            body = list(notice)
+            for _ in range(rng.randint(0, licenses.edits_allowed(notice) - 1)):
+                k = rng.randrange(len(body))
+                body[k:k + 1] = rng.choice([[], [rng.choice("abcé")], [body[k], "q"]])
+            shown = "".join(body).strip() + (f" {tail}" if tail else "")
+            before = " ".join(rng.choice(["one", "zwölf", "tree"]) for _ in range(rng.randint(1, 30)))
+            spans = licenses.scan_text(f"{before} {shown} and more".encode())["spans"]
+            mine = [s for s in spans if s["label"] == label]
+            assert mine, shown
+            shown_words = f"{before} {shown} and more".split()
+            for s in mine:
+                span = " ".join(shown_words[s["first_word"]:s["first_word"] + s["n_words"]])
+                whole = [f"{n} {t}".strip() for n, t, other in licenses.NOTICES if other == label]
+                assert min(edits(span, w) for w in whole) <= s["edits"], (span, s)
+
+
+def test_licenses_of_a_text_full_of_notices():
+    import time
+
+    text = b"Released under the MIT License. Lisensed under the Apache License, version 2. " * 40_000
+    at = time.process_time()
+    got = licenses.scan_text(text)
+    assert time.process_time() - at < 60                 # in proportion to the text: it took minutes at a tenth of this
+    assert (got["n_words"], got["n_base"], got["first_word"], got["last_word"]) == (480_000, 80_000, 1, 479_996)
+    assert len(got["spans"]) == 80_000
+
+
 def test_decontamination_tolerates_substitutions(spark):
     rng = random.Random(3)
     item = [f"q{rng.randint(0, 10**6)}" for _ in range(30)]
@@ -372,3 +476,107 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, sf_small):
         before = corpus_pipeline.written(after, name)
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_small)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in before.collect()}
+
+
+def test_pipeline_stages_equal_plain_python(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(15)
+    good_words = ["the", "river", "stone", "walks", "green", "light", "under", "slow", "house", "morning", "paper", "wind"]
+    prose = lambda n: " ".join(rng.choice(good_words) + str(rng.randint(0, 400)) for _ in range(n))
+    junk = lambda: " ".join(rng.choice(["$$$", "!!!", "BUY", "***", "|||"]) for _ in range(60))
+    passage = prose(40)
+    rows, kind = [], {}
+
+    def put(text, what):
+        kind[len(rows)] = what
+        rows.append((len(rows), text))
+
+    for _ in range(150):
+        put(prose(80), "good")
+        put(junk(), "junk")
+    for k in range(0, 40, 2):
+        put(rows[k][1].replace(" ", "  ", 3) + " ", "copy" if k % 4 else "copy too")     # other white space only: not equal at the end
+        put(rows[k][1].replace(" ", "\n", 3), "copy")
+        words = rows[k][1].split()
+        words[rng.randrange(80)] = "changed"
+        put(" ".join(words), "near")
+    for _ in range(8):
+        put(prose(30) + " " + passage + " " + prose(30), "leak")
+    for text in (None, "", " \t", None):
+        put(text, "empty")
+    rows.append(rows[5])                                 # a repeated row of junk, and one of prose
+    rows.append(rows[6])
+    spark.createDataFrame([(i, t, "en", f"src{(i or 0) % 3}", len(t or "")) for i, t in rows],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(kind[i] == "good"), 0) for i in range(300)], "doc_id bigint, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None), (3, "tiny one")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), name)
+        kept.append([(r.doc_id, r.text) for r in docs.collect()])
+    judged, exact, near, clean = kept
+    ids = lambda some: sorted(i for i, _ in some)
+    real = lambda some: [i for i in ids(some) if kind[i] != "empty"]
+    # quality: the junk goes, nothing else (what an empty text scores is the model's)
+    assert real(judged) == sorted([i for i in kind if kind[i] not in ("junk", "empty")] + [rows[-1][0]])
+    # exact copies: the smallest id of texts that are equal but for white space; rows with one id stay together
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    first = {}
+    for i, t in sorted(judged):
+        first.setdefault(norm(t), i)
+    assert ids(exact) == sorted(i for i, t in judged if first[norm(t)] == i)
+    # near copies: one of each class at 0.8
+    distinct = sorted(set(exact), key=lambda r: r[0])
+    own = linked_ids(distinct, corpus_pipeline.near_dedup.PERCENT)
+    stays = {i for (i, _), c in zip(distinct, own) if i == c}
+    assert ids(near) == sorted(i for i, _ in exact if i in stays)
+    # benchmark passages: all leaks go, nothing else
+    assert ids(clean) == [i for i in ids(near) if kind[i] != "leak"] and any(kind[i] == "leak" for i, _ in near)
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in packed.filter("piece = 0").collect()) == ids(clean)
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name
+
+
+def test_ids_are_the_tokenizers_own_on_whole_tables_and_random_unicode():
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    plain = Tokenizer.from_file(path)                    # as it comes
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist() if t]
+    texts += pq.read_table("/root/testdata/sf0.01/benchmark.parquet", columns=["text"]).column(0).to_pylist()
+    rng = random.Random(21)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x370, 0x600), (0x900, 0xE80), (0x2000, 0x2100), (0x3000, 0x3100), (0x4E00, 0x4F00),
+              (0xAC00, 0xAD00), (0xFE00, 0xFFFE), (0x1F300, 0x1F700), (0x0, 0x20), (0x10000, 0x10FFFF), (0xE000, 0xF900)]
+    for _ in range(3_000):
+        chosen = rng.sample(ranges, rng.randint(1, 4))
+        texts.append("".join(rng.choice([chr(rng.randrange(*rng.choice(chosen))), " ", "'s", "\n", "1", "a", "<|endoftext|>"[:rng.randint(1, 13)]])
+                             for _ in range(rng.randint(1, 60))))
+    for text in texts:
+        got = np.frombuffer(packing.encode(text, path), "<u4").tolist()
+        assert got == plain.encode(text, add_special_tokens=False).ids, repr(text[:200])
+
+
+def test_decontamination_recall_under_substitutions(spark):
+    """Passages with random words replaced, as many as the verifier still accepts: nearly all are found."""
+    rng = random.Random(30)
+    items, rows = [], []
+    for k in range(60):
+        n = rng.randint(decontam.MIN_WORDS + 2, 50)
+        item = [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+        items.append((k, " ".join(item)))
+        for _ in range(4):
+            words = list(item)
+            for at in rng.sample(range(n), n // 8):
+                words[at] = f"x{rng.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join([f"y{rng.randint(0, 10**6)}" for _ in range(30)] + words + ["end"] * 10), k))
+    clean = [(10_000 + k, " ".join(f"z{rng.randint(0, 10**6)}" for _ in range(120))) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.id: r["items"] for r in decontam.contaminated(docs_of(spark, [(i, t) for i, t, _ in rows] + clean), bench).collect()}
+    assert not any(i >= 10_000 for i in got)
+    assert sum(got.get(i) == [k] for i, _, k in rows) >= 0.97 * len(rows)
