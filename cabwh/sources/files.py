@@ -31,6 +31,9 @@ WAYBILL_XML_SCHEMA = T.StructType([
     ]), True),
 ])
 
+#: Waybills in a file that is written, at most (about 400 bytes each): a reader takes an XML file whole, in one task.
+WAYBILLS_PER_FILE = 100_000
+
 PAYMENT_TSV_SCHEMA = T.StructType([
     T.StructField("transaction_dt", T.StringType(), True),
     T.StructField("card_num", T.StringType(), True),   # text: keeps leading zeros
@@ -96,7 +99,7 @@ def waybills_to_xml_frame(flat: DataFrame) -> DataFrame:
 
 def write_waybills(flat: DataFrame, path: str) -> None:
     (waybills_to_xml_frame(flat).write.mode("overwrite")
-     .options(rowTag="waybill", rootTag="waybills").format("xml").save(path))
+     .options(rowTag="waybill", rootTag="waybills", maxRecordsPerFile=WAYBILLS_PER_FILE).format("xml").save(path))
 
 
 def write_payments(payments: DataFrame, path: str) -> None:

@@ -142,8 +142,12 @@ def drivers_delta(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 
 def waybills(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    """Flat waybills: each supplier's car has a day and a night shift on each of the 30 days."""
-    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    """Flat waybills: each supplier's car has a day and a night shift on each of the 30 days.
+
+    A supplier is 60 waybills, so the suppliers are dealt out first: their one small file would be one task's.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"]).repartition(tasks, "s_suppkey")
     s, d, night = F.col("s_suppkey"), F.col("_d"), F.col("_night")
     same_driver = (~night) | ((d % 3) == 0)
     p = F.when(same_driver, s).otherwise(s + F.lit(n))

@@ -44,6 +44,21 @@ def test_xml_waybills(spark):
     assert since == {"W1", "W2"}
 
 
+def test_written_waybills_are_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    """A reader takes an XML file whole, in one task."""
+    from cabwh.sources import files
+    from cabwh.sources.fixtures import load_sources
+
+    monkeypatch.setattr(files, "WAYBILLS_PER_FILE", 10)
+    flat = load_sources(spark, "/root/testdata/sf0.001").waybills
+    assert flat.rdd.getNumPartitions() > 1                                         # made in several tasks
+    flat = flat.limit(95).coalesce(1)
+    files.write_waybills(flat, str(tmp_path / "drop"))
+    names = list((tmp_path / "drop").glob("part-*"))
+    assert len(names) == 10 and max(p.read_text().count("<waybill ") for p in names) == 10
+    assert sorted(map(str, read_waybills(spark, str(tmp_path / "drop")).collect())) == sorted(map(str, flat.collect()))
+
+
 def test_tsv_payments(spark):
     d = tempfile.mkdtemp(prefix="pay-")
     _write(f"{d}/p1.csv", "05.01.2024 10:00:00\t0000123412341234\t100.50\n"
