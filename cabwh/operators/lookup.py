@@ -3,8 +3,11 @@
 Both are an equi-join plus a closed range predicate. A plain equi-join on the entity key
 alone would pair every fact of a busy car with every waybill that car ever had (the
 join buffers all of the key's waybills); with a time bucket as a second equi-key each fact
-meets only the intervals that touch its own hour. Intervals are exploded to the hours they
+meets only the intervals that touch its own bucket. Intervals are exploded to the buckets they
 cover within the facts' time span, so the bucketed join is exact.
+
+The exploded sides are joined by sort-merge, said by a hint: Spark counts an exploded row as one row, takes the side
+for small and would send all of it through the driver.
 """
 
 from __future__ import annotations
@@ -33,7 +36,11 @@ def bucket(ts: Column, width_s: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(width_s)).cast("bigint")
 
 
-HOUR_S = 3600
+#: Width of a bucket: a shift of half a day is about four rows.
+BUCKET_S = 4 * 3600
+#: A key with more facts than this is spread over salts, the heaviest ``HOT_KEYS`` of them.
+HOT_ROWS = 10_000
+HOT_KEYS = 200
 
 
 def point_in_time_lookup(
@@ -48,7 +55,7 @@ def point_in_time_lookup(
     order: Sequence[str],
     take: Sequence[str],
     exclusive: bool = False,
-    width_s: int = HOUR_S,
+    width_s: int = BUCKET_S,
     times: DataFrame | None = None,
 ) -> DataFrame:
     """For each fact row, the **first** interval (by ``order``) of the same key that contains ``fact_ts``.
@@ -58,7 +65,7 @@ def point_in_time_lookup(
     Bounds are inclusive (``exclusive=True``: strict on both ends).
 
     Facts and intervals meet on (key, bucket of ``width_s`` seconds), so a key that holds a third of all facts is
-    spread over its hours. Facts with a NULL key or time match nothing and are spread by their id. Intervals are
+    spread over its buckets. Facts with a NULL key or time match nothing and are spread by their id. Intervals are
     cut to the span of the facts' times; ``times`` may name a cheaper relation whose column ``fact_ts`` covers it.
     """
     iv_cols = [c for c in {*order, *take} if c not in (iv_key, iv_start, iv_end)]
@@ -72,7 +79,7 @@ def point_in_time_lookup(
 
     inside = (ts > F.col(iv_start)) & (ts < F.col(iv_end)) if exclusive else ts.between(F.col(iv_start), F.col(iv_end))
     cond = (F.col(fact_key) == F.col("_iv_key")) & (F.col("_f_bucket") == F.col("_iv_bucket")) & inside
-    joined = f.join(iv, cond, "left")
+    joined = f.join(iv.hint("merge"), cond, "left")
     # The fact's (key, bucket) decides its join partition; ranking within (key, bucket, id)
     # reuses that hash partitioning instead of shuffling again by id.
     w = Window.partitionBy(fact_key, "_f_bucket", fact_id)
@@ -85,6 +92,16 @@ def point_in_time_lookup(
     return ranked.select(*keep, F.col("_matches").cast("bigint").alias("_matches"))
 
 
+def hot_keys(rows: DataFrame, key: str) -> Column:
+    """The keys of more than ``HOT_ROWS`` rows, at most the ``HOT_KEYS`` heaviest, as an array: a scalar of the plan.
+
+    Any other key holds less than one in ``HOT_KEYS`` of the rows, or at most ``HOT_ROWS``.
+    """
+    n = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    heaviest = F.sort_array(F.collect_list(F.struct("_n", "_k")), asc=False)
+    return n.filter(F.col("_n") > HOT_ROWS).agg(F.slice(heaviest, 1, HOT_KEYS).getField("_k").alias("_hot")).scalar()
+
+
 def interval_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -99,19 +116,23 @@ def interval_join(
 ) -> DataFrame:
     """Facts joined to the versions of the same key whose [start, end] contains ``fact_ts``.
 
-    Versions per key are few (one per card change); they are copied to ``splits`` salts and the facts of a key are
-    spread over the salts by a hash of the row, so one key with a third of all facts is not one task. An aggregate
+    Versions per key are few (one per card change); those of the :func:`hot_keys` are copied to ``splits`` salts and
+    the facts of such a key are spread over the salts by a hash of the row, so one key with a third of all facts is
+    not one task. All other versions are sent once. ``facts`` is read twice, so it should be stored rows. An aggregate
     by key that follows combines before its own shuffle.
     ``half_open=True`` matches [start, end + 1 s) instead: a version then ends where the
     next begins, and a sub-second time inside the 1 s gap still finds its version.
     """
     cols = [*facts.columns, *versions.columns]
-    facts = facts.withColumn("_f_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(splits)).cast("int"))
-    versions = versions.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    hot = hot_keys(facts, fact_key)
+    own = F.pmod(F.xxhash64(*facts.columns), F.lit(splits)).cast("int")
+    facts = facts.withColumn("_f_salt", F.when(F.array_contains(hot, F.col(fact_key)), own).otherwise(F.lit(0)))
+    salts = F.when(F.array_contains(hot, F.col(ver_key)), F.sequence(F.lit(0), F.lit(splits - 1)))
+    versions = versions.withColumn("_v_salt", F.explode(F.coalesce(salts, F.array(F.lit(0)))))
     ts = F.col(fact_ts)
     if half_open:
         inside = (ts >= F.col(ver_start)) & (ts < F.col(ver_end) + F.expr("INTERVAL 1 SECOND"))
     else:
         inside = ts.between(F.col(ver_start), F.col(ver_end))
     same = (F.col(fact_key) == F.col(ver_key)) & (F.col("_f_salt") == F.col("_v_salt"))
-    return facts.join(versions, same & inside, how).select(*cols)
+    return facts.join(versions.hint("merge"), same & inside, how).select(*cols)

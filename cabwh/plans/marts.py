@@ -22,6 +22,7 @@ from cabwh.functions import (
 from cabwh.operators.lookup import bucket, explode_buckets, interval_join
 from cabwh.operators.scd2 import as_of
 from cabwh.operators.windows import range_sum, running_index, sliding_sum, split_lag
+from cabwh.session import stored
 
 
 def _day(report_dt) -> _dt.date:
@@ -244,12 +245,16 @@ def paid_by_card(fact_payments: DataFrame) -> DataFrame:
             .select(format_card("card_num").alias("card_num"), "paid_amt"))
 
 
+#: What the client history reads of the fact rides.
+CLIENT_RIDE_COLS = ["ride_id", "client_phone_num", "ride_arrival_dt", "ride_start_dt", "price_amt"]
+
+
 def rides_by_client_card(fact_rides: DataFrame, dim_clients: DataFrame, half_open: bool = False) -> DataFrame:
-    """A5 over J8: rides of a phone counted for the card version valid at arrival time."""
+    """A5 over J8: rides of a phone counted for the card version valid at arrival time (``fact_rides`` is read twice)."""
     dc = dim_clients.select(F.col("phone_num").alias("_phone"), F.col("start_dt").alias("_start"),
                             F.col("end_dt").alias("_end"), F.col("card_num"))
-    j = interval_join(fact_rides.select("ride_id", "client_phone_num", "ride_arrival_dt", "ride_start_dt", "price_amt"),
-                      dc, "client_phone_num", "ride_arrival_dt", "_phone", "_start", "_end", half_open=half_open)
+    j = interval_join(fact_rides.select(*CLIENT_RIDE_COLS), dc, "client_phone_num", "ride_arrival_dt",
+                      "_phone", "_start", "_end", half_open=half_open)
     cancelled = F.col("ride_start_dt").isNull()
     return j.groupBy("client_phone_num", "card_num").agg(
         F.count("ride_id").alias("total_rides_cnt"),
@@ -297,6 +302,7 @@ def clients_hist(dim_clients: DataFrame, fact_payments: DataFrame, fact_rides: D
     """
     if affected is not None:
         dim_clients, fact_payments, fact_rides = restrict_to_phones(affected, dim_clients, fact_payments, fact_rides)
+    fact_rides = stored(fact_rides.select(*CLIENT_RIDE_COLS), "client-rides")
     return history_rows(dim_clients, paid_by_card(fact_payments), rides_by_client_card(fact_rides, dim_clients, half_open))
 
 

@@ -28,7 +28,7 @@ from cabwh.operators.windows import sliding_sum, split_lag
 from cabwh.operators.writes import dedupe_keep_last, insert_ignore_result, one_per_key, upsert
 from cabwh.plans import dims, facts, marts
 from cabwh.plans.warehouse import Warehouse
-from cabwh.session import scratch_path
+from cabwh.session import scratch_path, stored
 from cabwh.sources import extract, files
 from cabwh.sources.fixtures import BATCH1_UNTIL, REPORT_DAY, load_sources
 from cabwh.sources.tables import read_table
@@ -272,16 +272,19 @@ def q_clients_hist_maintained(spark, sf):
     old = None
     for wh in (first, full):
         load = store.begin()
-        stored = load.read("fact_rides")
-        rides, payments, versions = wh.fact_rides, wh.fact_payments, wh.dim_clients
+        rides, payments = wh.fact_rides, wh.fact_payments
         if old is not None:
-            rides = rides.join(stored.select("ride_id"), "ride_id", "left_anti").select(*rides.columns)
+            # without the headers of stored rides: what is stored already is not looked up again
+            headers = wh.rides.join(load.read("fact_rides").select("ride_id"), "ride_id", "left_anti")
+            rides = facts.build_fact_rides(wh.movement, headers, wh.fact_waybills).rides
             payments = payments.join(load.read("fact_payments").select("transaction_id"), "transaction_id", "left_anti")
-            versions = versions.filter(F.col("start_dt") > F.lit(BATCH1_UNTIL).cast("timestamp_ntz"))
         load.write("fact_rides", rides.withColumn("end_date", F.to_date("ride_end_dt")), load.id, "end_date")
         load.write("fact_payments", payments, load.id)
         load.write("dim_clients", wh.dim_clients, "open")
-        history.add(load, old, load.read("dim_clients"), versions.checkpoint(),
+        clients = versions = load.read("dim_clients")
+        if old is not None:
+            versions = versions.filter(F.col("start_dt") > F.lit(BATCH1_UNTIL).cast("timestamp_ntz"))
+        history.add(load, old, clients, versions,
                     load.read("fact_rides", lambda k, mine=load.id: k.endswith(mine)),
                     load.read("fact_payments", lambda k, mine=load.id: k == mine))
         history.report(load)
@@ -442,7 +445,7 @@ def q_paid_by_card(spark, sf):
 @query("rides_by_client_card")
 def q_rides_by_client_card(spark, sf):
     wh = Warehouse(spark, sf)
-    return marts.rides_by_client_card(wh.fact_rides, wh.dim_clients)
+    return marts.rides_by_client_card(stored(wh.fact_rides.select(*marts.CLIENT_RIDE_COLS), "client-rides"), wh.dim_clients)
 
 
 @query("ride_client_interval_join")
@@ -450,8 +453,8 @@ def q_ride_client_interval_join(spark, sf):
     from cabwh.operators.lookup import interval_join
     wh = Warehouse(spark, sf)
     dc = wh.dim_clients.select(F.col("phone_num"), F.col("start_dt"), F.col("end_dt"), F.col("card_num"))
-    j = interval_join(wh.fact_rides.select("ride_id", "client_phone_num", "ride_arrival_dt"), dc,
-                      "client_phone_num", "ride_arrival_dt", "phone_num", "start_dt", "end_dt")
+    fr = stored(wh.fact_rides.select("ride_id", "client_phone_num", "ride_arrival_dt"), "client-rides")
+    j = interval_join(fr, dc, "client_phone_num", "ride_arrival_dt", "phone_num", "start_dt", "end_dt")
     return j.select("ride_id", "client_phone_num", "card_num", "start_dt")
 
 

@@ -195,6 +195,38 @@ def test_interval_join_splits_a_hot_key(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
 
 
+def test_only_versions_of_hot_keys_are_copied(spark, monkeypatch):
+    from cabwh.operators import lookup
+
+    monkeypatch.setattr(lookup, "HOT_ROWS", 300)
+    base = dt.datetime(2024, 1, 1)
+    fact_rows = [(i, None if i % 11 == 0 else "hot" if i % 3 else f"p{i % 50}", base + dt.timedelta(hours=i % 700))
+                 for i in range(2000)]
+    versions = [(k, base, base + dt.timedelta(days=15)) for k in ["hot", None, *[f"p{i}" for i in range(50)]]]
+    fa = spark.createDataFrame(fact_rows, "i long, phone string, at timestamp_ntz")
+    ve = spark.createDataFrame(versions, "key string, s timestamp_ntz, e timestamp_ntz")
+    assert fa.select(lookup.hot_keys(fa, "phone").alias("h")).first().h == ["hot"]
+    got = lookup.interval_join(fa, ve, "phone", "at", "key", "s", "e")
+    want = [(*f, *v) for f in fact_rows for v in versions if f[1] and f[1] == v[0] and v[1] <= f[2] <= v[2]]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_exploded_sides_are_never_broadcast(spark):
+    """Spark takes an exploded table for as small as what it is made of; a broadcast goes through the driver whole."""
+    from cabwh.operators.lookup import interval_join, point_in_time_lookup
+
+    at = dt.datetime(2024, 1, 2)
+    fa = spark.createDataFrame([(1, "K1", at)], "ride_id long, car string, dt timestamp_ntz")
+    iv = spark.createDataFrame([("W1", "K1", at, at)], "num string, car string, s timestamp_ntz, e timestamp_ntz")
+    looked = point_in_time_lookup(fa, iv, "ride_id", "car", "dt", "car", "s", "e", ["s", "num"], ["num"])
+    joined = interval_join(fa.select("ride_id", F.col("car").alias("key"), "dt"), iv, "key", "dt", "car", "s", "e")
+    for out in (looked, joined):
+        assert out.count() == 1
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_pivot_equals_spark_pivot(spark, sf_small):
     from cabwh.operators.pivot import pivot_events, pivot_events_grouped
     from cabwh.sources.fixtures import load_sources
