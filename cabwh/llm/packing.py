@@ -30,6 +30,8 @@ CAPACITY = 2048
 END_TOKEN = 0
 OPEN_BINS = 4096
 PIECES_PER_TASK = 250_000
+#: Texts of a batch that a worker holds as Python strings at once.
+TEXTS_AT_ONCE = 256
 
 # Fixed value: the byte-level BPE's pre-tokenising pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -98,7 +100,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         end = np.asarray([END_TOKEN], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
             columns = [[] for _ in fields]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(text or "", tokenizer_path) + end

@@ -156,6 +156,32 @@ def test_key_ranges_are_even(spark, sf_small):
     assert count.max() < 3 * count.mean() and count.min() > 0
 
 
+def test_only_strings_that_share_a_window_are_merged(monkeypatch):
+    rnd = random.Random(5)
+    words = [bytes(rnd.choices(b"abcdefgh", k=18)) for _ in range(12)]
+    strings = list({b" ".join(rnd.choices(words, k=rnd.choice((3, 4, 5)))) for _ in range(400)})
+    n = suffix_dedup.LENGTH
+    windows = [{s[a:a + n] for a in range(len(s) - n + 1)} for s in strings]
+    count = {}
+    for w in windows:
+        for x in w:
+            count[x] = count.get(x, 0) + 1
+    want = [any(count[x] > 1 for x in w) for w in windows]
+    assert suffix_dedup.sharing(strings).tolist() == want and 0 < sum(want) < len(want)
+    merged, owners = [], suffix_dedup.owners
+    monkeypatch.setattr(suffix_dedup, "owners", lambda s, ids: merged.extend(s) or owners(s, ids))
+    texts = [(s + b"." + bytes(rnd.choices(b"xyz", k=30))) for s in strings]
+    shards = [suffix_dedup.Shard([k], [len(t)], t) for k, t in enumerate(texts)]
+    keys = np.unique(np.concatenate([suffix_dedup.short_keys(s.key, 1) for s in shards]))
+    found = [s.strings(keys, 1) for s in shards]
+    suffix_dedup.owned_windows([suffix_dedup._pack(s.data, f, slice(0, len(f.key))) for s, f in zip(shards, found)])
+    seen = {}
+    for s in merged:
+        for x in {s[a:a + n] for a in range(len(s) - n + 1)}:
+            seen[x] = seen.get(x, 0) + 1
+    assert merged and all(any(seen[s[a:a + n]] > 1 for a in range(len(s) - n + 1)) for s in merged)
+
+
 def test_merged_transforms_find_owners(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", 400)
     rng = random.Random(2)
@@ -209,6 +235,15 @@ def test_packing_round_trip_with_rounds(spark, rows):
     assert [x for _, _, p in own for x in p] == ids and all(n == packing.CAPACITY for _, n, _ in own[1:])
 
 
+def test_texts_of_a_batch_are_tokenised_a_few_at_a_time(spark):
+    """A batch of 10,000 texts is not held as Python strings as a whole."""
+    docs = docs_of(spark, [(i, None if i % 50 == 0 else f"text {i} " * (i % 9)) for i in range(700)]).coalesce(1)
+    rows = packing.tokenised(docs, packing.default_tokenizer()).collect()
+    assert packing.TEXTS_AT_ONCE < 700 and [r.id for r in rows] == list(range(700))
+    assert all(r.length == len(packing.encode(f"text {r.id} " * (r.id % 9) if r.id % 50 else "", packing.default_tokenizer()))
+               // 4 + 1 for r in rows)
+
+
 def test_encode_equals_tokenizer():
     path = packing.default_tokenizer()
     full, _ = packing._tokenizer(path)
