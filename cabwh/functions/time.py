@@ -55,6 +55,8 @@ def day_bounds(day) -> tuple[Column, Column]:
 _CLOCK = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?\s*$"
 _DAYFIRST = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})" + _CLOCK
 _ISO = r"^\s*(\d{4})[./-](\d{1,2})[./-](\d{1,2})" + _CLOCK
+#: The form nearly all payment rows have: its parts stand at fixed places.
+_FIXED = r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$"
 
 
 def parse_dayfirst(text) -> Column:
@@ -64,7 +66,8 @@ def parse_dayfirst(text) -> Column:
     the wall-clock time as written is kept, like all times here. Junk and impossible dates are NULL.
 
     Built from ``try_make_timestamp_ntz`` so the wall-clock value never passes through the
-    session time zone (``try_to_timestamp`` yields LTZ).
+    session time zone (``try_to_timestamp`` yields LTZ). Text of the usual form is matched once and cut at its fixed
+    places; the general patterns are matched anew for each of their groups.
     """
     t = _c(text)
 
@@ -79,7 +82,12 @@ def parse_dayfirst(text) -> Column:
             F.try_make_timestamp_ntz(part(pattern, y), part(pattern, m), part(pattern, d), *clock, sec),
         )
 
-    return F.coalesce(build(_DAYFIRST, 3, 2, 1), build(_ISO, 1, 2, 3))
+    def cut(start, length):
+        return F.substring(t, start, length).try_cast("int")
+
+    fixed = F.try_make_timestamp_ntz(cut(7, 4), cut(4, 2), cut(1, 2), cut(12, 2), cut(15, 2),
+                                     cut(18, 2).cast("decimal(16,6)"))
+    return F.when(t.rlike(_FIXED), fixed).otherwise(F.coalesce(build(_DAYFIRST, 3, 2, 1), build(_ISO, 1, 2, 3)))
 
 
 def speed_over_limit(distance, seconds, limit: Decimal = SPEED_LIMIT_KMH) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabwh.operators.writes import upsert
+from cabwh.session import stored
 from cabwh.sources.store import Load
 
 BUCKETS = 128
@@ -52,7 +53,7 @@ class BucketedTable:
 
     def merge(self, load: Load, delta: DataFrame, how: Merge) -> DataFrame:
         """Replace the buckets of ``delta`` by ``how(old rows of them, delta)``; returns the delta as stored for that."""
-        delta = delta.checkpoint()                       # read for its buckets and for the merge: computed once
+        delta = stored(delta, f"delta-{self.name}")      # read for its buckets and for the merge: computed once
         wanted = self.touched(load, delta)
         old = load.read(self.name, lambda k: k in set(wanted))
         new = delta if old is None else how(old, delta)

@@ -36,8 +36,8 @@ def bucket(ts: Column, width_s: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(width_s)).cast("bigint")
 
 
-#: Width of a bucket: a shift of half a day is about four rows.
-BUCKET_S = 4 * 3600
+#: Width of a bucket: a shift of half a day is one row or two, and a ride meets its car's shifts of a day.
+BUCKET_S = 24 * 3600
 #: A key with more facts than this is spread over salts, the heaviest ``HOT_KEYS`` of them.
 HOT_ROWS = 10_000
 HOT_KEYS = 200

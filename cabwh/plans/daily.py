@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabwh.constants import LOOKBACK_WAYBILLS_H
-from cabwh.functions import parse_dayfirst, ts_lit
+from cabwh.functions import ts_lit
 from cabwh.plans import dims, facts
 from cabwh.plans.pipeline import Inputs, LoadFailed, Pipeline
 from cabwh.sources.fixtures import Sources, load_sources
@@ -43,10 +43,6 @@ def source_inputs(src: Sources, since: _dt.datetime | None, until: _dt.datetime)
     """What a run at ``until`` finds whose last successful one was at ``since``: the source tables as they stand, the
     waybill files of the look-back, and the payment files that arrived."""
     upto = ts_lit(until)
-    paid_at = parse_dayfirst("transaction_dt")
-    payments = src.payments.filter(paid_at <= upto)
-    if since is not None:
-        payments = payments.filter(paid_at > ts_lit(since))
     waybills_since = (since or _dt.datetime(1900, 1, 2)) - _dt.timedelta(hours=LOOKBACK_WAYBILLS_H)
     return Inputs(
         rides=src.rides.filter(F.col("dt") <= upto),
@@ -54,7 +50,7 @@ def source_inputs(src: Sources, since: _dt.datetime | None, until: _dt.datetime)
         drivers=src.current("drivers", until),
         car_pool=src.current("car_pool", until),
         waybills=src.waybills.filter((F.col("issuedt") <= upto) & (F.col("issuedt") > ts_lit(waybills_since))),
-        payments=payments,
+        payments=src.paid(since, until),
     )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cabwh.functions import format_card
 from cabwh.operators.buckets import BUCKETS, BucketedTable
 from cabwh.plans import marts
+from cabwh.session import stored
 from cabwh.sources.store import Load
 
 #: Snapshots of the running counts that are kept.
@@ -53,7 +54,7 @@ class ViolationCounts:
         first = _dt.date.fromisoformat(base) + _dt.timedelta(days=1) if base else None
         reported = [_dt.date.fromisoformat(k) for k in load.parts(self.REPORT)]
         last = max([day, *reported])
-        rows = marts.drivers_violations_from(rides(first, last), self.state(load, day), first, last).checkpoint()
+        rows = stored(marts.drivers_violations_from(rides(first, last), self.state(load, day), first, last), "violations")
         again = [d for d in reported if first is None or d >= first]
         load.replace(self.REPORT, rows.withColumn("_day", F.col("report_dt")), "_day", [*map(str, again), str(day)])
         counts = rows.groupBy("personnel_num").agg((F.max("violations_cnt") + 1).cast("bigint").alias("violations"))
@@ -97,8 +98,9 @@ class ClientHistory:
             return changes
         counted = load.read("fact_rides", lambda k: not k.endswith(load.id) and (
             k.startswith("null/") or k.split("/")[0] >= str(earliest.date())))
-        moved = counted.join(since, (F.col("client_phone_num") == F.col("_phone"))
-                             & (F.col("ride_arrival_dt") >= F.col("_since"))).drop("_phone", "_since").checkpoint()
+        moved = stored(counted.join(since, (F.col("client_phone_num") == F.col("_phone"))
+                                    & (F.col("ride_arrival_dt") >= F.col("_since"))).select(*marts.CLIENT_RIDE_COLS),
+                       "moved-rides")
         return (changes.unionByName(self._counted(moved, _of_phones(old_clients, moved), -1))
                 .unionByName(self._counted(moved, _of_phones(clients, moved), 1)))
 
@@ -118,13 +120,13 @@ class ClientHistory:
         """Bring the history up to date: the rows of the touched phones, from their versions and sums."""
         if not load.parts(self.touched):
             return
-        phones = load.read(self.touched).distinct().checkpoint()
+        phones = stored(load.read(self.touched).distinct(), "touched-phones")
         rows = self.rows_of(load, phones)
         self.report_table.upsert(load, rows, marts.HISTORY_UPDATE_COLS)
         load.drop(self.touched, lambda k: False)         # taken into account
 
     def rows_of(self, load: Load, phones: DataFrame) -> DataFrame:
-        versions = load.read("dim_clients").join(phones, "phone_num", "left_semi").checkpoint()
+        versions = stored(load.read("dim_clients").join(phones, "phone_num", "left_semi"), "touched-versions")
         paid = self.paid.read(load, versions.select("card_num").distinct())
         rides = self.rides.read(load, versions.select(F.col("phone_num").alias("client_phone_num")).distinct())
         return marts.history_rows(versions, paid, rides)

@@ -22,7 +22,8 @@ reports of a day are one commit as well.
 * ``touched_phones``      phones that loads touched since the last history report; it recomputes only those
 
 Each write is one Spark job; a lost executor only re-runs its tasks from the deterministic inputs, and the deltas
-reused by several writes are checkpointed to the shared checkpoint folder.
+reused by several writes are stored in the shared checkpoint folder, as Parquet: what reads a few of their columns reads
+no others, and their rows take a fraction of the disk that checkpointed ones take.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ from cabwh.operators.scd2 import open_end
 from cabwh.operators.writes import one_per_key
 from cabwh.plans import dims, facts, marts
 from cabwh.plans.maintained import ClientHistory, ViolationCounts
-from cabwh.session import ensure_checkpoint_dir, scratch_path
+from cabwh.session import ensure_checkpoint_dir, scratch_path, stored
 from cabwh.sources import extract, rejects
 from cabwh.sources.store import Load, Store
 
@@ -153,18 +154,23 @@ class Pipeline:
         return replace(inp, **good)
 
     # -- facts --------------------------------------------------------------------------------
-    def _append_new(self, load: Load, new: DataFrame, table: str, index: KeyIndex) -> None:
-        """Append rows whose keys the table does not hold (one per key), in parts by date, and their keys."""
+    def _append_new(self, load: Load, new: DataFrame, table: str, index: KeyIndex) -> DataFrame:
+        """Append rows whose keys the table does not hold (one per key), in parts by date, and their keys; returns the
+        rows as they are stored now, so that nothing computes them again.
+
+        Rows are dealt out by date, where a day too large for a task is split: written as they come, every task would
+        write a file for each of its dates."""
         part, ts = FACT_PARTITION[table]
-        load.write(table, new.withColumn(part, F.to_date(ts)).sortWithinPartitions(part, ts), load.id, part)
+        rows = new.withColumn(part, F.to_date(ts)).hint("rebalance", part)
+        load.write(table, rows.sortWithinPartitions(part, ts), load.id, part)
+        new = load.read(table, lambda k: k.endswith(f"/{load.id}"))
         index.add(load, new)
+        return new
 
     def _insert_ignore(self, load: Load, delta: DataFrame, table: str, key: str) -> DataFrame:
         """A key may come again with another date (a re-issued waybill), so the whole index is probed."""
         index = KeyIndex(table, [key])
-        new = index.unseen(load, delta).checkpoint()
-        self._append_new(load, new, table, index)
-        return new
+        return self._append_new(load, index.unseen(load, delta), table, index)
 
     def _with_open(self, load: Load, new: DataFrame, table: str, key: str) -> DataFrame:
         """``new`` and the rows the last batch left open, one per key."""
@@ -174,7 +180,7 @@ class Pipeline:
     def _keep_open(self, load: Load, table: str, rows: DataFrame, started_at: _dt.datetime) -> None:
         """Rows the next batch starts from; those older than ``OPEN_RIDE_DAYS`` are set aside in ``expired_<table>`` and
         counted, so that what stays open does not grow for good."""
-        rows = rows.checkpoint()
+        rows = stored(rows, table)
         old = F.col("dt") < ts_lit(started_at - _dt.timedelta(days=OPEN_RIDE_DAYS))
         load.write(table, rows.filter(~F.coalesce(old, F.lit(False))), "now")
         expired = rows.filter(old)
@@ -198,22 +204,23 @@ class Pipeline:
         # rides: the look-back window plus what earlier batches left open (stored rows: no source is read again)
         rd = since(inp.rides, "dt", wm, LOOKBACK_RIDES_H)
         mv = since(inp.movement, "dt", wm, LOOKBACK_RIDES_H)
-        rd = self._with_open(load, rd, "open_rides", "ride_id").checkpoint()
-        mv = self._with_open(load, mv, "open_events", "movement_id").checkpoint()
+        rd = stored(self._with_open(load, rd, "open_rides", "ride_id"), "batch-rides")
+        mv = stored(self._with_open(load, mv, "open_events", "movement_id"), "batch-events")
         # the index is probed once, for all rides the batch has heard of
         index = KeyIndex("fact_rides", ["ride_id"])
         heard = rd.select("ride_id").unionByName(mv.select(F.col("ride").alias("ride_id")))
-        seen = index.seen(load, heard).checkpoint()
+        seen = stored(index.seen(load, heard), "seen-rides")
         first_order = rd.agg(F.min("dt")).first()[0]
         # only waybills still open at the earliest order time can contain a ride of the batch
         waybills = load.read("fact_waybills")
         if first_order is not None:
             waybills = waybills.filter(F.col("work_end_dt") >= F.lit(first_order))
         # the lookup is computed once; fact rows and quarantine are both read from it
-        fr = facts.split_lookup(facts.build_fact_rides(mv, rd, waybills).looked.checkpoint())
-        new_rides = one_per_key(fr.rides, ["ride_id"]).join(seen, "ride_id", "left_anti").checkpoint()
-        self._append_new(load, new_rides, "fact_rides", index)
-        done = seen.unionByName(new_rides.select("ride_id")).checkpoint()
+        looked = facts.build_fact_rides(mv, rd, waybills).looked.select(*facts.FACT_RIDES_COLUMNS, "dt")
+        fr = facts.split_lookup(stored(looked, "looked-rides"))
+        new_rides = one_per_key(fr.rides, ["ride_id"]).join(seen, "ride_id", "left_anti")
+        new_rides = self._append_new(load, new_rides, "fact_rides", index)
+        done = seen.unionByName(new_rides.select("ride_id"))
         load.write("quarantine_rides", fr.quarantine.join(done, "ride_id", "left_anti"), "now")
         # a header without a client's phone never becomes a fact
         closed = done.unionByName(rd.filter(F.col("client_phone").isNull()).select("ride_id"))
@@ -230,7 +237,7 @@ class Pipeline:
         """Close-and-append on the open versions only: the part ``open`` (one version per key) is replaced, the
         versions this load closed are a part of their own (history is never rewritten)."""
         cur = load.read(table, lambda k: k == "open")
-        out = apply(cur, delta).checkpoint()        # written twice below: computed once
+        out = stored(apply(cur, delta), table)      # written twice below: computed once
         is_open = F.col("end_dt") == open_end()
         load.write(table, out.filter(~is_open), f"closed/{load.id}")
         load.write(table, out.filter(is_open), "open")
@@ -247,7 +254,7 @@ class Pipeline:
             known = known.select(F.col("phone_num").alias("_phone"), F.col("card_num").alias("_card"))
             recent = recent.join(known, F.col("client_phone").eqNullSafe(F.col("_phone"))
                                  & F.col("card_num").eqNullSafe(F.col("_card")), "left_anti")
-        new_versions = dims.clients_delta(recent).checkpoint()
+        new_versions = stored(dims.clients_delta(recent), "new-versions")
         self._dim(load, "dim_clients", new_versions, lambda cur, d: dims.apply_clients(cur, d))
         return new_versions
 

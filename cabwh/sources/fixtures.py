@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cabwh.constants import EVENT_BEGIN, EVENT_CANCEL, EVENT_END, EVENT_READY, STATUS_FAILURE, STATUS_SUCCESS
-from cabwh.functions.time import add_seconds, int_div, ts_lit
+from cabwh.functions.time import add_seconds, ts_lit
 from cabwh.sources.tables import read_table
 
 # --- fixed values: fixture calendar (FIXTURES.md) ------------------------------
@@ -49,55 +49,72 @@ def supplier_count(spark: SparkSession, sf_dir: str) -> int:
     return read_table(spark, sf_dir, "supplier", ["s_suppkey"]).count()
 
 
-def _ride_columns(orders: DataFrame, n: int) -> DataFrame:
+def _at(seconds: Column) -> Column:
+    """The time so many seconds after the first day's midnight."""
+    return add_seconds(ts_lit(T0), seconds)
+
+
+# a ride's times, in seconds after the first day's midnight: what an event or a payment is picked by, so they are plain
+# integers
+def _ordered_s(k: Column) -> Column:
+    return (k % DAYS) * 86400 + (k * 7919) % 72000 + 3600
+
+
+def _begin_s(k: Column) -> Column:
+    return _ordered_s(k) + k % 300 + 420
+
+
+def _tenths(k: Column) -> Column:
+    """The distance in tenths of a km."""
+    return (k * 31) % 400 + 10
+
+
+def _end_s(k: Column) -> Column:
+    return _begin_s(k) + F.floor(_tenths(k) * 360 / (k % 90 + 30)) + 1
+
+
+def _no_end(k: Column) -> Column:
+    """The ride is cancelled or its END event is missing."""
+    return ((k % 11) == 0) | ((k % 13) == 0)
+
+
+def _car(k: Column, n: int) -> Column:
+    return F.call_function("div", k - F.pmod(k, F.lit(DAYS)), F.lit(DAYS)) % F.lit(n)
+
+
+def rides(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    d = k % DAYS
-    card_tail = F.when(((c % 3) == 0) & (d >= CLIENT_CARD_CHANGE_DAY), F.lit("1")).otherwise(F.lit("0"))
+    card_tail = F.when(((c % 3) == 0) & ((k % DAYS) >= CLIENT_CARD_CHANGE_DAY), F.lit("1")).otherwise(F.lit("0"))
     return orders.select(
         k.alias("ride_id"),
-        add_seconds(day_offset(d), (k * 7919) % 72000 + 3600).alias("dt"),
+        _at(_ordered_s(k)).alias("dt"),
         F.concat(F.lit("+7"), z(c, 10)).alias("client_phone"),
         F.concat(F.lit("4000 0000 "), z(c % 10000, 4), F.lit(" 000"), card_tail).alias("card_num"),
         F.concat(F.lit("A"), (k % 17).cast("string")).alias("point_from"),
         F.concat(F.lit("B"), (k % 19).cast("string")).alias("point_to"),
-        (((k * 31) % 400 + 10).cast("decimal(12,0)") * F.lit(0.1).cast("decimal(2,1)"))
-        .cast("decimal(10,2)").alias("distance"),
+        (_tenths(k).cast("decimal(12,0)") * F.lit(0.1).cast("decimal(2,1)")).cast("decimal(10,2)").alias("distance"),
         F.floor(F.col("o_totalprice") / 100).cast("decimal(10,2)").alias("price"),
-        int_div(k, F.lit(DAYS)).alias("_blk"),
-    ).withColumn("_car", F.col("_blk") % F.lit(n)).drop("_blk")
-
-
-def rides(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
-    return _ride_columns(orders, n).drop("_car")
+    )
 
 
 def movement(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    """READY / BEGIN / END / CANCEL rows of every ride, from one scan of ``orders``."""
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
-    r = _ride_columns(orders, n)
-    k = F.col("ride_id")
-    ready = add_seconds(F.col("dt"), k % 300 + 300)
-    begin = add_seconds(F.col("dt"), k % 300 + 420)
-    travel = int_div((F.col("distance") * 100).cast("bigint") * 36, k % 90 + 30) + 1
-    end = add_seconds(begin, travel)
+    """READY / BEGIN / END / CANCEL rows of every ride: a scan of the keys for each, so that a filter by time is asked
+    of the scan and not of a generated row."""
+    k = F.col("o_orderkey")
+    plate = F.concat(F.lit("K"), z(F.when((k % 97) == 0, F.lit(NO_WAYBILL_PLATE)).otherwise(_car(k, n)), 5), F.lit("  "))
     cancelled = (k % 11) == 0
-    no_end = cancelled | ((k % 13) == 0)
+    keys = read_table(spark, sf_dir, "orders", ["o_orderkey"])
 
-    def ev(offset: int, name: str, ts: Column, keep: Column | None = None) -> Column:
-        s = F.struct((k * 4 + offset).alias("movement_id"), F.lit(name).alias("event"), ts.alias("dt"))
-        return s if keep is None else F.when(keep, s)
+    def ev(offset: int, name: str, seconds: Column, keep: Column | None = None) -> DataFrame:
+        return (keys if keep is None else keys.filter(keep)).select(
+            (k * 4 + offset).alias("movement_id"), plate.alias("car_plate_num"), k.alias("ride"),
+            F.lit(name).alias("event"), _at(seconds).alias("dt"))
 
-    plate = F.concat(F.lit("K"), z(F.when((k % 97) == 0, F.lit(NO_WAYBILL_PLATE)).otherwise(F.col("_car")), 5),
-                     F.lit("  "))
-    events = F.array(ev(0, EVENT_READY, ready), ev(1, EVENT_BEGIN, begin, ~cancelled),
-                     ev(2, EVENT_END, end, ~no_end), ev(3, EVENT_CANCEL, begin, cancelled))
-    # explode the four candidates and drop the absent ones (no lambda: stays in codegen)
-    return (
-        r.select(k.alias("ride"), plate.alias("car_plate_num"), F.explode(events).alias("_ev"))
-        .filter(F.col("_ev").isNotNull())
-        .select("_ev.movement_id", "car_plate_num", "ride", "_ev.event", "_ev.dt")
-    )
+    return (ev(0, EVENT_READY, _ordered_s(k) + k % 300 + 300)
+            .unionByName(ev(1, EVENT_BEGIN, _begin_s(k), ~cancelled))
+            .unionByName(ev(2, EVENT_END, _end_s(k), ~_no_end(k)))
+            .unionByName(ev(3, EVENT_CANCEL, _begin_s(k), cancelled)))
 
 
 def _people(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
@@ -171,17 +188,24 @@ def waybills(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str, n: int, mv: DataFrame | None = None,
-             rd: DataFrame | None = None) -> DataFrame:
-    """Payment file rows: one per completed ride with k % 5 <> 0, paid 60 s after END.
+def payments(spark: SparkSession, sf_dir: str, n: int, after: _dt.datetime | None = None,
+             until: _dt.datetime | None = None) -> DataFrame:
+    """Payment file rows: one per completed ride with k % 5 <> 0, paid 60 s after END; with ``after`` and ``until`` those
+    paid in (after, until].
 
-    ``transaction_dt`` is the raw day-first text and ``card_num`` has no blanks, as in the file.
+    ``transaction_dt`` is the raw day-first text and ``card_num`` has no blanks, as in the file. The rows are those of
+    the rides joined to the END events by ride id: an order that comes m times brings m rows for each of them.
     """
-    mv = (mv if mv is not None else movement(spark, sf_dir, n)) \
-        .filter(F.col("event") == EVENT_END).select("ride", F.col("dt").alias("end_dt"))
-    r = (rd if rd is not None else rides(spark, sf_dir, n)).filter((F.col("ride_id") % 5) != 0)
-    return r.join(mv, r.ride_id == mv.ride).select(
-        F.date_format(add_seconds(F.col("end_dt"), 60), "dd.MM.yyyy HH:mm:ss").alias("transaction_dt"),
+    k = F.col("ride_id")
+    paid = rides(spark, sf_dir, n).filter(((k % 5) != 0) & ~_no_end(k)).select(
+        "ride_id", "card_num", "price", _at(_end_s(k) + 60).alias("_paid"))
+    if after is not None:
+        paid = paid.filter(F.col("_paid") > ts_lit(after))
+    if until is not None:
+        paid = paid.filter(F.col("_paid") <= ts_lit(until))
+    ends = F.count(F.lit(1)).over(Window.partitionBy("ride_id")).cast("int")
+    return paid.select("*", ends.alias("_ends")).select("*", F.explode(F.array_repeat(F.lit(0), F.col("_ends")))).select(
+        F.date_format("_paid", "dd.MM.yyyy HH:mm:ss").alias("transaction_dt"),
         F.regexp_replace("card_num", " ", "").alias("card_num"),
         F.col("price").cast("decimal(18,2)").alias("transaction_amt"),
     )
@@ -288,7 +312,11 @@ class Sources:
 
     @cached_property
     def payments(self) -> DataFrame:
-        return payments(self.spark, self.sf_dir, self.n_cars, self.movement, self.rides)
+        return self.paid()
+
+    def paid(self, after: _dt.datetime | None = None, until: _dt.datetime | None = None) -> DataFrame:
+        """The payments made in (after, until]."""
+        return payments(self.spark, self.sf_dir, self.n_cars, after, until)
 
     def current(self, name: str, until) -> DataFrame:
         """``drivers`` / ``car_pool`` as the source shows them at ``until``: the tables are updated in
